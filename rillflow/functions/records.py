@@ -34,22 +34,29 @@ def _typed(text: Column, data_type: T.DataType) -> Column:
     return text.try_cast(data_type)
 
 
-def parse_outcome(value: Column, schema: T.StructType = ALARM_SCHEMA) -> tuple[Column, Column]:
-    """``(record, is_bad)`` of JSON object text.
+def parse_text(value: Column, schema: T.StructType = ALARM_SCHEMA) -> Column:
+    """Struct of the fields of JSON object text, all as text, plus the raw text if it is malformed.
 
-    All fields are read as text and then cast, so ``"3"`` and ``3.0`` are valid integers. Unknown
-    fields are ignored, missing ones are NULL, names are case-sensitive. Bad are: NULL, blank or
-    malformed text, anything but one object, and a present field that does not fit its type.
+    Reading text first makes ``"3"`` and ``3.0`` valid integers. Unknown fields are ignored, missing
+    ones are NULL, and names are case-sensitive.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(value, as_text, {"columnNameOfCorruptRecord": CORRUPT, "allowUnquotedFieldNames": "true"})
-    record = F.struct(*[_typed(parsed[f.name], f.dataType).alias(f.name) for f in schema])
-    is_bad = parsed.isNull() | parsed[CORRUPT].isNotNull() | ~F.rtrim(value, F.lit(" \t\r\n")).endswith("}")
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, CORRUPT]])
+    return F.from_json(value, as_text, {"columnNameOfCorruptRecord": CORRUPT, "allowUnquotedFieldNames": "true"})
+
+
+def typed_record(parsed: Column, schema: T.StructType = ALARM_SCHEMA) -> Column:
+    """The fields of ``parse_text`` cast to their types; what does not fit becomes NULL."""
+    return F.struct(*[_typed(parsed[f.name], f.dataType).alias(f.name) for f in schema])
+
+
+def is_bad_record(value: Column, parsed: Column, schema: T.StructType = ALARM_SCHEMA) -> Column:
+    """True for NULL, blank or malformed text, anything but one object, and a field not fitting its type."""
+    bad = parsed.isNull() | parsed[CORRUPT].isNotNull() | ~F.rtrim(value, F.lit(" \t\r\n")).endswith("}")
     for field in schema:
         if not isinstance(field.dataType, T.StringType):
             text = parsed[field.name]
-            is_bad = is_bad | (text.isNotNull() & _typed(text, field.dataType).isNull())
-    return record, is_bad
+            bad = bad | (text.isNotNull() & _typed(text, field.dataType).isNull())
+    return bad
 
 
 def to_record_json(*fields: Column | str) -> Column:

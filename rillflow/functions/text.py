@@ -1,4 +1,8 @@
-"""Text expressions: delimited fields, location codes, tokens, key/value text, bytes."""
+"""Text expressions: delimited fields, location codes, tokens, key/value text, bytes.
+
+Each expression mentions its input once where it can: Spark repeats the work for every mention when
+it pushes a filter below the projection that computes it.
+"""
 
 from __future__ import annotations
 
@@ -10,53 +14,42 @@ from pyspark.sql import functions as F
 # The event-record layout and the text formats that results depend on.
 LOCATION_FIELD = 21
 NO_LOCATION = "NA"
-LOCATION_LENGTH = 2
 UNKNOWN_MARK = "-"
 KEY_VALUE_SEPARATOR = " # "
 NULL_TEXT = "null"
 
-
-def _fields(line: Column, delimiter: str, last: int, collapse: bool) -> Column:
-    """Fields 0..``last`` of a line (plus the unsplit rest), trailing empty fields dropped.
-
-    Splitting stops after the wanted field, so wide records cost no more than narrow ones.
-    """
-    pattern = re.escape(delimiter) + ("+" if collapse else "")
-    return F.split(F.rtrim(line, F.lit(delimiter)), pattern, last + 2)
+# Characters of one and of two UTF-16 units; lengths of codes are counted in such units.
+_NARROW = r"[^\t\x{10000}-\x{10FFFF}]"
+_WIDE = r"[\x{10000}-\x{10FFFF}]"
 
 
 def delimited_field(line: Column, index: int = 1, delimiter: str = ",", on_short: str = "fail") -> Column:
-    """Field ``index`` of a delimited line; no quoting.
+    """Field ``index`` of a delimited line; no quoting, and trailing empty fields do not count.
 
-    A line without that field fails the job, or gives NULL with ``on_short="null"``.
+    A line without that field fails the job, or gives NULL with ``on_short="null"``. Splitting stops
+    after the wanted field, so wide records cost no more than narrow ones.
     """
     if on_short not in ("fail", "null"):
         raise ValueError("on_short must be 'fail' or 'null'")
-    fields = _fields(line, delimiter, index, collapse=False)
-    found = F.when(F.size(fields) > index, F.get(fields, F.lit(index)))
+    fields = F.split(F.rtrim(line, F.lit(delimiter)), re.escape(delimiter), index + 2)
+    found = F.get(fields, F.lit(index))
     if on_short == "null":
         return found
     message = F.concat(F.lit(f"no field {index} in line: "), F.coalesce(line, F.lit(NULL_TEXT)))
-    return found.otherwise(F.raise_error(message))
-
-
-def utf16_length(text: Column) -> Column:
-    """Length in UTF-16 units, which exceeds the character count beyond the basic plane."""
-    ascii_only = F.octet_length(text) == F.length(text)
-    units = (F.length(F.encode(text, "UTF-16BE")) / F.lit(2)).cast("int")
-    return F.when(ascii_only, F.length(text)).otherwise(units)
+    return F.coalesce(found, F.raise_error(message))
 
 
 def location_code(line: Column, position: int = LOCATION_FIELD, collapse: bool = True) -> Column:
     """Location code of a tab-separated record.
 
-    The record needs a field after the code. Runs of tabs count as one separator unless
+    The record needs a non-empty field after the code. Runs of tabs count as one separator unless
     ``collapse`` is off. A code longer than two keeps its first character; no code gives ``NA``.
     """
-    fields = _fields(line, "\t", position + 1, collapse)
-    code = F.get(fields, F.lit(position))
-    short = F.when(utf16_length(code) > LOCATION_LENGTH, F.substring(code, 1, 1)).otherwise(code)
-    return F.when(F.size(fields) > position + 1, short).otherwise(F.lit(NO_LOCATION))
+    # The whole code if it has at most two units, else its first character.
+    short = rf"((?:{_NARROW}{{1,2}}|{_WIDE})(?=\t)|[^\t]|)[^\t]*+"
+    before = rf"[^\t]*+(?:\t++[^\t]++){{{position - 1}}}\t++" if collapse else rf"(?:[^\t]*+\t){{{position}}}"
+    found = F.regexp_extract_all(line, F.lit(rf"\A{before}{short}\t++[^\t]"), F.lit(1))
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(NO_LOCATION))
 
 
 def valid_location(code: Column, literal: bool = False) -> Column:
@@ -64,8 +57,13 @@ def valid_location(code: Column, literal: bool = False) -> Column:
 
     ``literal=True`` keeps only the codes that do start with ``-``.
     """
-    marked = code.startswith(UNKNOWN_MARK)
-    return (code != NO_LOCATION) & (marked if literal else ~marked) & (utf16_length(code) == LOCATION_LENGTH)
+    mark = "=" if literal else "!"
+    return code.rlike(rf"\A(?!{NO_LOCATION}\z)(?{mark}{UNKNOWN_MARK})(?:{_NARROW}{{2}}|{_WIDE})\z")
+
+
+def utf16_length(text: Column) -> Column:
+    """Length in UTF-16 units, which exceeds the character count beyond the basic plane."""
+    return (F.length(F.encode(text, "UTF-16BE")) / F.lit(2)).cast("int")
 
 
 def tokens(line: Column) -> Column:

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.functions.records import ALARM_SCHEMA, parse_outcome
+from rillflow.functions.records import ALARM_SCHEMA, is_bad_record, parse_text, typed_record
 from rillflow.functions.text import delimited_field, location_code, tokens
 
 
+def with_once(df: DataFrame, alias: str, column: Column) -> DataFrame:
+    """Add a costly column so that it is computed once per row, however often it is used afterwards.
+
+    Spark copies the expression of a projection into every filter and column above it, but not
+    that of a generator.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(alias))
+
+
 def extract_field(
     df: DataFrame,
     index: int = 1,
@@ -36,7 +45,7 @@ def extract_field(
 
 def with_location(df: DataFrame, line: str = "value", alias: str = "location", collapse: bool = True) -> DataFrame:
     """Add the location code of a tab-separated record."""
-    return df.withColumn(alias, location_code(F.col(line), collapse=collapse))
+    return with_once(df, alias, location_code(F.col(line), collapse=collapse))
 
 
 def tokenise(df: DataFrame, line: str = "value", alias: str = "word") -> DataFrame:
@@ -62,10 +71,11 @@ def tag_records(df: DataFrame, value: str = "value", schema: T.StructType = ALAR
 
     One pass for both outcomes: write with ``partitionBy("outcome")`` to keep the bad rows.
     """
-    record, is_bad = parse_outcome(F.col(value), schema)
-    return df.withColumn("outcome", F.when(is_bad, "bad").otherwise("good")).withColumn(
-        "record", F.when(F.col("outcome") == "good", record)
-    )
+    parsed = F.col("_parsed")
+    bad = is_bad_record(F.col(value), parsed, schema)
+    record = F.when(F.col("outcome") == "good", typed_record(parsed, schema))
+    rows = with_once(df, "_parsed", parse_text(F.col(value), schema))
+    return rows.withColumn("outcome", F.when(bad, "bad").otherwise("good")).withColumn("record", record).drop("_parsed")
 
 
 def parse_records(
@@ -76,18 +86,17 @@ def parse_records(
     ``on_bad``: ``quarantine`` returns good and bad rows, ``drop`` leaves bad rows out, ``fail``
     stops the job at the first one.
     """
+    if on_bad not in ("quarantine", "drop", "fail"):
+        raise ValueError("on_bad must be 'quarantine', 'drop' or 'fail'")
     tagged = tag_records(df, value, schema)
-    columns = [F.col("record")[f.name].alias(f.name) for f in schema]
-    good = tagged.where(F.col("outcome") == "good").select(*columns)
-    if on_bad == "drop":
-        return good
-    if on_bad == "quarantine":
-        return ParsedRecords(good, tagged.where(F.col("outcome") == "bad").select(F.col(value)))
     if on_bad == "fail":
         message = F.concat(F.lit("bad record: "), F.coalesce(F.col(value), F.lit("null")))
         checked = F.when(F.col("outcome") == "good", F.col("record")).otherwise(F.raise_error(message))
-        return tagged.withColumn("record", checked).select(*columns)
-    raise ValueError("on_bad must be 'quarantine', 'drop' or 'fail'")
+        return with_once(tagged, "checked", checked).select("checked.*")
+    good = tagged.where(F.col("outcome") == "good").select("record.*")
+    if on_bad == "drop":
+        return good
+    return ParsedRecords(good, tagged.where(F.col("outcome") == "bad").select(value))
 
 
 def require_non_null(df: DataFrame, *columns: str) -> DataFrame:

@@ -7,16 +7,21 @@ member has to fit in memory. One deflated member cannot be split: it is read by
 
 from __future__ import annotations
 
+import sys
 import urllib.parse
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_BYTES = 4 * 1024 * 1024
 
+# The task functions below travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def open_file_system(path: str) -> tuple[pafs.FileSystem, str]:
     """Arrow file system and inner path of a Hadoop-style path (local, hdfs, s3a, gs, abfs)."""

@@ -1,0 +1,61 @@
+"""Physical plans: what is pushed down, how often data is shuffled, where Python runs."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillflow.operators import count_per_element, group_by_key, where_location, where_prefix
+from rillflow.plans import checks
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    return len(re.findall(r"Exchange hashpartitioning", plan(df)))
+
+
+def test_prefix_filter_and_columns_reach_the_scan(spark, sf_dir):
+    text = plan(checks.flt_prefix(spark, sf_dir))
+    assert "StringStartsWith(p_name,s)" in text
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in text
+
+
+def test_count_combines_before_its_only_shuffle(spark, sf_dir):
+    df = count_per_element(checks.table(spark, sf_dir, "orders"), "o_orderpriority")
+    text = plan(df)
+    assert "partial_count(1)" in text and exchanges(df) == 1
+    assert "ReadSchema: struct<o_orderpriority:string>" in text
+
+
+def test_grouping_without_hot_keys_shuffles_once(spark, sf_dir):
+    df = group_by_key(checks.table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey")
+    assert exchanges(df) == 1
+    assert exchanges(checks.join_cogroup(spark, sf_dir)) == 1
+
+
+def test_hot_keys_are_broadcast_when_small(spark, sf_dir):
+    text = plan(checks.agg_group_by_key_paged(spark, sf_dir))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_location_is_extracted_once(spark, sf_dir):
+    text = plan(checks.agg_count_by_location(spark, sf_dir))
+    assert text.count("regexp_extract_all") == 1
+    lines = checks.order_lines(checks.table(spark, sf_dir, "orders"))
+    assert plan(where_location(lines, "IN")).count("Exchange") == 0
+
+
+@pytest.mark.parametrize("name", sorted(set(checks.QUERIES) - {"src_zip_lines", "udf_map_records"}))
+def test_no_python_in_plans(spark, sf_dir, name):
+    if name.startswith(("stream", "queue", "sink", "fanout", "doc", "snk", "src_text", "src_dated", "prj_observe")):
+        pytest.skip("reads back what an earlier job wrote")
+    text = plan(checks.QUERIES[name](spark, sf_dir))
+    assert not re.search(r"MapIn|Python", text)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_predicates_are_native(spark, words):
+    assert "Filter" in plan(where_prefix(words, "word", "A").where(F.col("word") != "x"))

@@ -1,0 +1,110 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rillflow.sinks import (
+    copy_lines,
+    file_batch_writer,
+    jdbc_batch_writer,
+    log_rows,
+    with_retries,
+    write_documents,
+    write_lines,
+    write_log,
+)
+from rillflow.sinks import table as table_sink
+from rillflow.sources import read_lines
+
+
+def test_text_round_trip_and_copy(spark, tmp_path):
+    df = spark.createDataFrame([("101号顾客请到3号柜台",), ("",), ("a",), ("a",)], "value string")
+    write_lines(df, str(tmp_path / "a"))
+    copy_lines(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert sorted(r.value for r in read_lines(spark, str(tmp_path / "b")).collect()) == ["", "101号顾客请到3号柜台", "a", "a"]
+
+
+def test_log_rows(spark):
+    df = spark.createDataFrame([("k", "v")], "a string, b string")
+    assert log_rows(df, "b").columns == ["value"]
+    assert log_rows(df, F.upper("b"), F.lit("pkey")).first().asDict() == {"key": "pkey", "value": "V"}
+    assert log_rows(df, "b", "a").first().asDict() == {"key": "k", "value": "v"}
+
+
+def test_batch_log_appends(spark, tmp_path):
+    rows = spark.createDataFrame([("v",)], "value string")
+    for _ in range(2):
+        write_log(rows, "parquet", {"path": str(tmp_path / "log")})
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+
+
+def test_stream_needs_a_checkpoint(spark, tmp_path):
+    stream = spark.readStream.schema("value string").text(str(tmp_path))
+    with pytest.raises(ValueError):
+        write_log(stream, "text", {"path": str(tmp_path / "out")})
+
+
+def test_documents_with_and_without_id(spark, tmp_path):
+    df = spark.createDataFrame([(1, '{"a":1}')], "id int, doc string")
+    write_documents(df, "text", {"path": str(tmp_path / "d")})
+    assert read_lines(spark, str(tmp_path / "d")).first().value == '{"a":1}'
+    write_documents(df, "parquet", {"path": str(tmp_path / "i")}, id_col="id")
+    assert spark.read.parquet(str(tmp_path / "i")).first().asDict() == {"id": 1, "doc": '{"a":1}'}
+
+
+def test_replayed_batch_changes_nothing_and_duplicates_stay(spark, tmp_path):
+    write = file_batch_writer(str(tmp_path / "t"))
+    same = spark.createDataFrame([("x",), ("x",)], "v string")
+    for batch_id in (0, 1, 0, 1, 1):
+        write(same, batch_id)
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert rows.count() == 4
+    assert {r.batch_id for r in rows.collect()} == {0, 1}
+
+
+def test_retries_with_growing_pauses():
+    calls, pauses = [], []
+
+    def failing(batch, batch_id):
+        calls.append(batch_id)
+        if len(calls) < 4:
+            raise RuntimeError("down")
+
+    with_retries(failing, sleep=pauses.append)(None, 7)
+    assert calls == [7] * 4 and pauses == [5.0, 10.0, 20.0]
+
+
+def test_retries_give_up():
+    calls = []
+
+    def failing(batch, batch_id):
+        calls.append(batch_id)
+        raise RuntimeError("down")
+
+    with pytest.raises(RuntimeError):
+        with_retries(failing, max_retries=2, sleep=lambda seconds: None)(None, 0)
+    assert len(calls) == 3
+
+
+def test_jdbc_batches_delete_before_they_insert(monkeypatch):
+    """The order of steps and the options only: no database is available to the tests."""
+    steps = []
+
+    class Recorder:
+        def __getattr__(self, name):
+            def call(*args, **kwargs):
+                steps.append((name, args, kwargs))
+                return self
+
+            return call
+
+    class Batch(Recorder):
+        @property
+        def write(self):
+            return self
+
+    monkeypatch.setattr(table_sink, "_delete_batch", lambda batch, url, table, properties, batch_id: steps.append(("delete", batch_id)))
+    monkeypatch.setattr(table_sink.F, "lit", lambda value: Recorder())
+    jdbc_batch_writer("jdbc:x", "t", {"user": "u"}, block_rows=500)(Batch(), 3)
+    names = [step[0] for step in steps]
+    assert names.index("delete") < names.index("save")
+    options = next(step[2] for step in steps if step[0] == "options")
+    assert options == {"url": "jdbc:x", "dbtable": "t", "batchsize": "500", "user": "u"}

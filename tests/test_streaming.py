@@ -1,0 +1,147 @@
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillflow.sinks import file_batch_writer, write_log, write_table_batches
+from rillflow.sources import read_file_log
+from rillflow.streaming import fan_out, read_bounded, run_to_end
+from rillflow.workspace import scratch_path, scratch_root
+
+
+@pytest.fixture
+def arrivals(spark, tmp_path):
+    """A folder to which files are added, and the stream of it."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def add(first, last):
+        spark.range(first, last).coalesce(1).write.mode("append").parquet(str(folder))
+
+    return add, lambda **options: read_file_log(spark, str(folder), "id bigint", **options)
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_restart_reads_only_new_files(spark, arrivals, tmp_path):
+    add, stream = arrivals
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    add(0, 10)
+    for step in range(3):
+        run_to_end(write_log(stream(), "parquet", {"path": out}, checkpoint, available_now=True))
+        assert ids(spark.read.parquet(out)) == list(range(10 if step < 2 else 20))
+        if step == 1:
+            add(10, 20)
+
+
+def test_bounded_read_of_everything_present(arrivals):
+    add, stream = arrivals
+    add(0, 10)
+    add(10, 15)
+    landed = read_bounded(stream(files_per_batch=1))
+    assert ids(landed) == list(range(15)) and landed.count() == 15
+
+
+def test_bounded_read_of_nothing(arrivals):
+    _, stream = arrivals
+    assert read_bounded(stream()).count() == 0
+
+
+def test_bounded_read_caps_rows_over_batches(arrivals):
+    add, stream = arrivals
+    for i in range(5):
+        add(10 * i, 10 * i + 10)
+    landed = ids(read_bounded(stream(files_per_batch=1), max_records=25))
+    assert len(landed) == len(set(landed)) == 25
+
+
+def test_following_stops_at_the_cap(arrivals):
+    add, stream = arrivals
+    add(0, 100)
+    assert read_bounded(stream(), max_records=7, follow=True).count() == 7
+
+
+def test_following_stops_at_the_time_limit(arrivals):
+    add, stream = arrivals
+    add(0, 5)
+    started = time.monotonic()
+    landed = read_bounded(stream(), max_records=1000, max_seconds=8, follow=True)
+    assert 7 < time.monotonic() - started < 60
+    assert ids(landed) == list(range(5))
+
+
+def test_following_needs_a_limit(arrivals):
+    with pytest.raises(ValueError):
+        read_bounded(arrivals[1](), follow=True)
+
+
+def test_bounded_read_from_a_start(arrivals):
+    add, stream = arrivals
+    add(0, 20)
+    assert ids(read_bounded(stream(), start=("id", 15))) == [15, 16, 17, 18, 19]
+
+
+def test_failure_is_raised_and_the_query_stopped(spark, arrivals, tmp_path):
+    add, stream = arrivals
+    add(0, 3)
+    failing = stream().select(F.raise_error(F.lit("boom")).cast("string").alias("value"))
+    query = write_log(failing, "text", {"path": str(tmp_path / "o")}, str(tmp_path / "c"), available_now=True)
+    with pytest.raises(Exception, match="boom"):
+        run_to_end(query)
+    assert not query.isActive
+
+
+def test_timeout_stops_a_running_query(spark, arrivals, tmp_path):
+    add, stream = arrivals
+    add(0, 3)
+    query = write_log(stream(), "parquet", {"path": str(tmp_path / "o")}, str(tmp_path / "c"))
+    assert run_to_end(query, timeout=3) is False
+    assert not query.isActive
+
+
+def test_fan_out_reads_each_batch_once(spark, arrivals, tmp_path):
+    add, stream = arrivals
+    add(0, 50)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    even, odd = str(tmp_path / "even"), str(tmp_path / "odd")
+    write_even, write_odd = file_batch_writer(even), file_batch_writer(odd)
+    both = fan_out(
+        [
+            lambda batch, i: write_even(batch.where("id % 2 = 0"), i),
+            lambda batch, i: write_odd(batch.where("id % 2 = 1"), i),
+        ]
+    )
+    rows = stream().mapInPandas(counted, "id bigint")
+    run_to_end(write_table_batches(rows, both, str(tmp_path / "cp"), available_now=True))
+    assert ids(spark.read.parquet(even)) == list(range(0, 50, 2))
+    assert ids(spark.read.parquet(odd)) == list(range(1, 50, 2))
+    assert read.value == 50
+
+
+def test_failed_batch_is_retried_without_duplicates(spark, arrivals, tmp_path):
+    add, stream = arrivals
+    add(0, 10)
+    write, failures = file_batch_writer(str(tmp_path / "t")), []
+
+    def flaky(batch, batch_id):
+        write(batch, batch_id)
+        if len(failures) < 2:
+            failures.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    run_to_end(write_table_batches(stream(), flaky, str(tmp_path / "cp"), initial_backoff=0.01, available_now=True))
+    assert ids(spark.read.parquet(str(tmp_path / "t"))) == list(range(10))
+    assert len(failures) == 2
+
+
+def test_scratch_follows_the_session_setting(spark):
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
