@@ -7,10 +7,12 @@ member has to fit in memory. One deflated member cannot be split: it is read by
 
 from __future__ import annotations
 
+import io
 import sys
 import urllib.parse
 import zipfile
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -18,6 +20,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHUNK_BYTES = 4 * 1024 * 1024
+# Archives up to this size are read in one go.
+TINY_BYTES = 64 * 1024
 
 # The task functions below travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,6 +36,16 @@ def open_file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
+@contextmanager
+def _open_archive(path: str) -> Iterator[zipfile.ZipFile]:
+    files, inner = open_file_system(path)
+    with files.open_input_file(inner) as file:
+        # The directory search steps back past the start of a tiny file, which Arrow files refuse.
+        source = io.BytesIO(file.read()) if file.size() <= TINY_BYTES else file
+        with zipfile.ZipFile(source) as archive:
+            yield archive
+
+
 def split_lines(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
     r"""Lines of a byte stream cut anywhere, ended by ``\n``, ``\r\n`` or ``\r``."""
     pending: list[bytes] = []
@@ -66,8 +80,7 @@ def _text_array(lines: list[bytes]) -> pa.Array:
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            files, inner = open_file_system(path)
-            with files.open_input_file(inner) as file, zipfile.ZipFile(file) as archive:
+            with _open_archive(path) as archive:
                 members = [i for i, info in enumerate(archive.infolist()) if not info.is_dir()]
             yield pa.RecordBatch.from_pydict({"path": [path] * len(members), "member": pa.array(members, pa.int32())})
 
@@ -75,11 +88,9 @@ def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
-            files, inner = open_file_system(path)
-            with files.open_input_file(inner) as file, zipfile.ZipFile(file) as archive:
-                with archive.open(archive.infolist()[member]) as stream:
-                    for lines in split_lines(_chunks(stream)):
-                        yield pa.RecordBatch.from_arrays([_text_array(lines)], ["value"])
+            with _open_archive(path) as archive, archive.open(archive.infolist()[member]) as stream:
+                for lines in split_lines(_chunks(stream)):
+                    yield pa.RecordBatch.from_arrays([_text_array(lines)], ["value"])
 
 
 def read_zip_lines(spark: SparkSession, paths: str | Sequence[str], tasks: int | None = None) -> DataFrame:

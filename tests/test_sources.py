@@ -40,6 +40,8 @@ def test_zip_members(spark, tmp_path, monkeypatch):
         z.writestr("empty.csv", "")
     with zipfile.ZipFile(tmp_path / "c.zip", "w") as z:
         z.writestr("x", b"bad \xff byte\nok")
+    with zipfile.ZipFile(tmp_path / "none.zip", "w"):
+        pass
     (tmp_path / "other.txt").write_text("not an archive")
     want = ["", "alpha", "beta", "gamma", "long line without end", "δέλτα", "bad � byte", "ok"]
     assert values(read_zip_lines(spark, str(tmp_path))) == sorted(want)
