@@ -54,14 +54,16 @@ def co_group(inputs: Mapping[str, tuple[DataFrame, str, str]], page_size: int =
     ]
     rows = flatten(*tagged)
     hot = _hot_groups(rows, page_size)
+    page = F.lit(0).cast("bigint").alias("page")
     if hot is None:
-        paged = rows.select("*", F.lit(0).cast("bigint").alias("page"), F.lit(1).alias("copies"))
+        paged = rows.select("*", page)
     else:
         same = rows["key"].eqNullSafe(hot["hot_key"]) & (rows["tag"] == hot["hot_tag"])
-        ordinary = rows.join(hot, same, "left_anti").select("*", F.lit(0).cast("bigint").alias("page"), F.lit(1).alias("copies"))
-        paged = ordinary.unionByName(_spread(rows.join(hot, same).drop("hot_key", "hot_tag"), lists))
+        ordinary = rows.join(hot, same, "left_anti").select("*", page)
+        spread = _spread(rows.join(hot, same).drop("hot_key", "hot_tag"), lists)
+        paged = ordinary.unionByName(spread, allowMissingColumns=True)
     return paged.groupBy("key", "page").agg(
-        *[_sorted_values(i, column, hot is not None).alias(name) for i, (column, name) in enumerate(zip(lists, names))]
+        *[_page_values(i, column, hot is not None).alias(name) for i, (column, name) in enumerate(zip(lists, names))]
     )
 
 
@@ -120,28 +122,39 @@ def _spread(rows: DataFrame, lists: list[str]) -> DataFrame:
     first = F.col("block") * COPY_BLOCK
     last = F.least(first + COPY_BLOCK, F.col("used")) - 1
     copies = F.expr("total div pages") + F.when(F.col("copy") < F.col("total") % F.col("pages"), 1).otherwise(0)
+    entries = [
+        F.when(F.col("tag") == i, F.struct(F.col(name).alias("value"), F.col("copies"))).alias(_entries(name))
+        for i, name in enumerate(lists)
+    ]
     return (
         few.unionByName(many)
         .withColumn("copy", F.explode(F.sequence(first, last)))
-        .select(
-            "key",
-            "tag",
-            *lists,
-            F.pmod(F.col("start") + F.col("copy"), F.col("pages")).alias("page"),
-            copies.cast("int").alias("copies"),
-        )
+        .withColumn("copies", copies.cast("int"))
+        .select("key", F.pmod(F.col("start") + F.col("copy"), F.col("pages")).alias("page"), *entries)
     )
 
 
+def _entries(column: str) -> str:
+    return f"{column}_entries"
+
+
 def _as_text(df: DataFrame, column: str) -> Column:
     nested = isinstance(df.schema[column].dataType, (T.StructType, T.ArrayType, T.MapType))
     return F.to_json(column) if nested else F.col(column).cast("string")
 
 
-def _sorted_values(tag: int, column: str, counted: bool) -> Column:
-    """The values of one input in a page, sorted. Structs keep NULL values from being dropped."""
-    entry = F.struct(F.col(column).alias("value"), F.col("copies"))
-    entries = F.sort_array(F.collect_list(F.when(F.col("tag") == tag, entry)))
-    if not counted:
-        return entries["value"]
-    return F.flatten(F.transform(entries, lambda e: F.array_repeat(e["value"], e["copies"])))
+def _page_values(tag: int, column: str, has_hot: bool) -> Column:
+    """The values of one input in a page, sorted, NULLs first.
+
+    Rows of other inputs are NULL in ``column`` and drop out of the list; own NULLs are counted. The
+    page of a hot group is made of counted entries instead, an ordinary one has none.
+    """
+    value = F.col(column)
+    nulls = F.count_if((F.col("tag") == tag) & value.isNull()).cast("int")
+    collected = F.sort_array(F.collect_list(value))
+    values = F.when(nulls == 0, collected).otherwise(F.concat(F.array_repeat(F.get(collected, F.size(collected)), nulls), collected))
+    if not has_hot:
+        return values
+    entries = F.sort_array(F.collect_list(_entries(column)))
+    expanded = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["value"], e["copies"])))
+    return F.when(F.size(entries) == 0, values).otherwise(expanded)

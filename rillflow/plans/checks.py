@@ -7,17 +7,17 @@ by Spark from the tables, then read back through the operator.
 from __future__ import annotations
 
 import datetime as dt
-import os
 import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions import count_document, count_json, key_value_text, location_code, to_record_json, to_text, to_utf8
+from rillflow.functions import key_value_text, to_record_json, to_text, to_utf8
 from rillflow.functions.records import ALARM_SCHEMA
 from rillflow.operators import (
     co_group,
@@ -38,8 +38,7 @@ from rillflow.operators import (
     with_location,
 )
 from rillflow.plans import jobs
-from rillflow.sinks import file_batch_writer, log_rows, with_retries, write_lines, write_log, write_table_batches
-from rillflow.sinks.log import DEFAULT_KEY
+from rillflow.sinks import file_batch_writer, log_rows, write_lines, write_log, write_table_batches
 from rillflow.sources import from_values, read_dated_lines, read_file_log, read_lines, read_zip_lines
 from rillflow.sources.archive import open_file_system
 from rillflow.streaming import fan_out, read_bounded, run_to_end
@@ -134,7 +133,7 @@ def written_zips(spark: SparkSession, df: DataFrame, column: str) -> str:
         # Attempts write apart and the last step is a rename, so a repeated task leaves one archive.
         attempt = f"{folder}/{name}.{context.taskAttemptId()}.tmp"
         rows = 0
-        with files.open_output_stream(attempt) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+        with files.open_output_stream(attempt) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
             member, left = None, 0
             for batch in batches:
                 for text in batch.column(0).to_pylist():
@@ -148,7 +147,10 @@ def written_zips(spark: SparkSession, df: DataFrame, column: str) -> str:
                     rows += 1
             if member is not None:
                 member.close()
-        files.move(attempt, f"{folder}/{name}.zip")
+        final = f"{folder}/{name}.zip"
+        if files.get_file_info(final).type != pafs.FileType.NotFound:
+            files.delete_file(final)
+        files.move(attempt, final)
         yield pa.RecordBatch.from_pydict({"n": [rows]})
 
     df.select(column).mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()
