@@ -8,6 +8,7 @@ from rillflow.operators.transforms import (
     ParsedRecords,
     extract_field,
     parse_records,
+    require_non_null,
     strip_metadata,
     tag_records,
     tokenise,
@@ -24,6 +25,7 @@ __all__ = [
     "group_by_key",
     "map_records",
     "parse_records",
+    "require_non_null",
     "route",
     "route_output",
     "strip_metadata",

@@ -189,6 +189,12 @@ def src_zip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_per_element(read_zip_lines(spark, path), "value")
 
 
+def src_zip_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zipped event records to JSON location counts."""
+    path = written_zips(spark, order_lines(table(spark, sf_dir, "orders")), "value")
+    return jobs.location_count_json(read_zip_lines(spark, path), sample=None)
+
+
 def src_dated_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
@@ -239,6 +245,14 @@ def snk_keyed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("key", to_text(F.col("value")).alias("payload"))
 
 
+def snk_routed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two prefix outputs written in one pass, then read back one by one."""
+    target = scratch_path(spark, "routed")
+    jobs.write_prefix_outputs(table(spark, sf_dir, "part"), target, ("s", "r"), "p_name")
+    outputs = [read_lines(spark, f"{target}/prefix={p}").withColumn("output", F.lit(p)) for p in ("s", "r")]
+    return count_per_element(flatten(*outputs), "output", "value")
+
+
 def sink_idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "replay")
     write = file_batch_writer(target)
@@ -465,6 +479,7 @@ QUERIES: dict[str, Query] = {
         src_values,
         src_text_lines,
         src_zip_lines,
+        src_zip_locations,
         src_dated_paths,
         stream_log_source,
         stream_bounded_read,
@@ -472,6 +487,7 @@ QUERIES: dict[str, Query] = {
         snk_text_roundtrip,
         snk_text_copy,
         snk_keyed_bytes,
+        snk_routed_outputs,
         sink_idempotent_replay,
         stream_batched_sink,
         stream_json_documents,

@@ -12,6 +12,8 @@ LOCATIONS = f"(select o_orderkey, {LOCATION} as country from orders) l"
 
 VALID = "country <> 'NA' and not starts_with(country, '-') and length(country) = 2"
 
+LOCATION_JSON = f"select '{{\"' || country || '\":' || count(*) || '}}' as json from {LOCATIONS} where {VALID} group by country"
+
 ALARM_DOC = r"""'{"alarmid":"' || event_id || '","alarmTitle":"' || event_type || '","deviceModel":"M' || user_id
     || '","alarmSource":' || (user_id % 7)
     || case when event_type <> 'error' then ',"alarmMsg":"' || replace(props, '"', '\"') || '"' else '' end || '}'"""
@@ -37,6 +39,7 @@ ORACLES: dict[str, str] = {
         union all select o_orderpriority from orders) u group by word""",
     "src_text_lines": "select value, count(*) as n from (select unnest(string_split(text, chr(10))) as value from documents) l group by value",
     "src_zip_lines": "select value, count(*) as n from (select unnest(string_split(text, chr(10))) as value from documents) l group by value",
+    "src_zip_locations": LOCATION_JSON,
     "src_dated_paths": "select strftime(ts, '%Y%m%d') as day, count(*) as n from events group by 1",
     "stream_log_source": "select event_id, event_type from events",
     "stream_bounded_read": "select event_id from events where ts >= timestamp '2024-01-10' order by ts, event_id limit 10",
@@ -44,12 +47,14 @@ ORACLES: dict[str, str] = {
     "snk_text_roundtrip": "select p_partkey || ',' || p_name as value from part",
     "snk_text_copy": "select value, count(*) as n from (select unnest(string_split(text, chr(10))) as value from conversations) l group by value",
     "snk_keyed_bytes": "select 'pkey' as key, cast(event_id as varchar) as payload from events",
+    "snk_routed_outputs": """select substr(p_name, 1, 1) as output, p_name as value, count(*) as n from part
+        where starts_with(p_name, 's') or starts_with(p_name, 'r') group by 1, 2""",
     "sink_idempotent_replay": "select event_id, event_type from events",
     "stream_batched_sink": 'select cast(event_id as varchar) as alarmid, cast(user_id % 7 as int) as "alarmSource" from events',
     "stream_json_documents": f"select {ALARM_DOC} as doc from events",
     "stream_kv_concat": "select case when event_type <> 'error' then event_type else 'null' end || ' # ' || props as line from events",
     "fanout_country_equals": f"select o_orderkey from {LOCATIONS} where country = 'IN'",
-    "doc_count_by_location": f"select '{{\"' || country || '\":' || count(*) || '}}' as doc from {LOCATIONS} where {VALID} group by country",
+    "doc_count_by_location": LOCATION_JSON.replace(" as json ", " as doc "),
     "prj_bytes_payload": "select event_id, cast(event_id as varchar) as payload from events",
     "prj_tokenise": """select word, count(*) as n from (
         select unnest(string_split(replace(text, chr(10), ' '), ' ')) as word from documents) w where word <> '' group by word""",
@@ -73,7 +78,7 @@ ORACLES: dict[str, str] = {
     "agg_count_by_location": f"select country, count(*) as n from {LOCATIONS} where {VALID} group by country",
     "agg_count_by_location_literal": f"""select country, count(*) as n from {LOCATIONS}
         where country <> 'NA' and starts_with(country, '-') and length(country) = 2 group by country""",
-    "agg_count_json": f"select '{{\"' || country || '\":' || count(*) || '}}' as json from {LOCATIONS} where {VALID} group by country",
+    "agg_count_json": LOCATION_JSON,
     "agg_count_json_quoted": "select '{\"' || p_brand || '\": \"' || count(*) || '\"}' as json from part group by p_brand",
     "agg_group_by_key": group_lines("select o_custkey as k, 0 as t, cast(o_orderkey as varchar) as v from orders", PAGE_SIZE),
     "agg_group_by_key_paged": group_lines("select p_brand as k, 0 as t, p_name as v from part", SMALL_PAGE),

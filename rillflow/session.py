@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,6 +16,20 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Shuffle partitions of this size fit in a task's memory with room for sorting; scans use the same.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def size_settings(input_bytes: int) -> dict[str, str]:
+    """Partition settings for jobs that read and shuffle about ``input_bytes``.
+
+    The number of shuffle partitions is an upper one: run-time re-planning merges those that stay small.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(1, math.ceil(input_bytes / PARTITION_BYTES))),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
 
 def build_session(app_name: str = "rillflow", master: str | None = None, **settings: str) -> SparkSession:
     """A session with ``SETTINGS``; keyword names use ``__`` for dots. Leave ``master`` out on a cluster."""

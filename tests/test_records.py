@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions import to_record_json
 from rillflow.functions.records import ALARM_SCHEMA
-from rillflow.operators import parse_records, tag_records
-from rillflow.operators.transforms import require_non_null
+from rillflow.operators import parse_records, require_non_null, tag_records
 
 GOOD = {
     '{"alarmid":"1","alarmTitle":"t","deviceModel":"d","alarmSource":3,"alarmMsg":"m"}': ("1", "t", "d", 3, "m"),
