@@ -34,6 +34,8 @@ def group_by_key(df: DataFrame, key: str, value: str, page_size: int = PAGE_SIZE
 
     NULL is a key like any other. Batch input only; it is read once more to count the keys.
     """
+    if key in ("page", alias):
+        raise ValueError(f"the key column must not be named {key}")
     return co_group({alias: (df, key, value)}, page_size).withColumnRenamed("key", key)
 
 
@@ -47,6 +49,10 @@ def co_group(inputs: Mapping[str, tuple[DataFrame, str, str]], page_size: int =
     if page_size < 1:
         raise ValueError("page_size must be positive")
     names = list(inputs)
+    if {"key", "page"} & set(names):
+        raise ValueError("lists must not be named key or page")
+    if any(df.isStreaming for df, _, _ in inputs.values()):
+        raise ValueError("groups of a stream never end; land it first, for instance with read_bounded")
     lists = [f"list_{i}" for i in range(len(names))]
     tagged = [
         df.select(F.col(key).alias("key"), F.lit(i).alias("tag"), *_value_columns(inputs, lists, i, F.col(value)))

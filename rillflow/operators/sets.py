@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+# Samples up to this many rows pass through the driver.
+SMALL_SAMPLE = 1_000
+
 
 def flatten(*inputs: DataFrame) -> DataFrame:
     """All rows of all inputs, duplicates kept. Columns are matched by name."""
@@ -15,5 +18,12 @@ def flatten(*inputs: DataFrame) -> DataFrame:
 
 
 def take_any(df: DataFrame, n: int) -> DataFrame:
-    """Any ``n`` rows: arbitrary, neither uniform nor repeatable. Each task passes on at most ``n``."""
-    return df.limit(n)
+    """Any ``n`` rows: arbitrary, neither uniform nor repeatable.
+
+    A small sample is taken at once: Spark then opens only as many partitions as it needs, and every
+    use of the result sees the same rows. A large or streaming one stays a lazy limit, to which each
+    task passes on at most ``n`` rows.
+    """
+    if df.isStreaming or n > SMALL_SAMPLE:
+        return df.limit(n)
+    return df.sparkSession.createDataFrame(df.take(n), df.schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,12 +26,12 @@ def read_bounded(
 
     The read ends after ``max_records`` rows, after ``max_seconds``, or, unless ``follow`` is set, when
     everything present at the start has been read. ``start`` is a ``(column, value)`` pair: earlier
-    rows are left out. The landed table can be read any number of times, the source only once.
+    rows are left out; a time without zone means what it says, in the zone of the column. The landed table can be read any number of times, the source only once.
     """
     if follow and max_records is None and max_seconds is None:
         raise ValueError("following a stream needs max_records or max_seconds")
     spark = stream.sparkSession
-    rows = stream if start is None else stream.where(F.col(start[0]) >= F.lit(start[1]))
+    rows = stream if start is None else stream.where(F.col(start[0]) >= _bound(stream, *start))
     if max_records is not None:
         rows = rows.limit(max_records)
     landing = target or scratch_path(spark, "landing")
@@ -45,6 +46,13 @@ def read_bounded(
     return spark.read.schema(stream.schema).parquet(landing)
 
 
+def _bound(stream: DataFrame, column: str, value: object) -> Column:
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        # As text, since Spark would take the value as a moment in the zone of this process.
+        return F.lit(value.isoformat(sep=" ")).cast(stream.schema[column].dataType)
+    return F.lit(value)
+
+
 def _wait(query: StreamingQuery, max_records: int | None, max_seconds: float | None) -> None:
     """Wait for the first limit to be met, then stop; a failure of the query is raised."""
     deadline = None if max_seconds is None else time.monotonic() + max_seconds

@@ -65,16 +65,15 @@ def test_union(spark, words, tmp_path):
 
 
 def test_co_group_lines(spark):
-    # Keys with non-ASCII text, one notice and one message each.
     notices = spark.createDataFrame(
-        [("DS-2CD2326FWDA3-I", "101号顾客请到3号柜台"), ("DS-2CD6984F-IHS", "103号顾客请到4号柜台")], "k string, v string"
+        [("door-1", "三号窗口"), ("door-2", "四号窗口")], "k string, v string"
     )
-    messages = spark.createDataFrame([("DS-2CD2326FWDA3-I", "type=2"), ("DS-2CD7627HWD-LZS", "type=3")], "k string, v string")
+    messages = spark.createDataFrame([("door-1", "kind=a"), ("door-3", "kind=b")], "k string, v string")
     inputs = {"notices": (notices, "k", "v"), "messages": (messages, "k", "v")}
     assert sorted(r.line for r in jobs.co_group_lines(inputs).collect()) == [
-        "DS-2CD2326FWDA3-I;[101号顾客请到3号柜台];[type=2];",
-        "DS-2CD6984F-IHS;[103号顾客请到4号柜台];[];",
-        "DS-2CD7627HWD-LZS;[];[type=3];",
+        "door-1;[三号窗口];[kind=a];",
+        "door-2;[四号窗口];[];",
+        "door-3;[];[kind=b];",
     ]
     assert all(r.line.endswith(";\r") for r in jobs.co_group_lines(inputs, trailing_cr=True).collect())
 

@@ -130,3 +130,26 @@ def test_take_any(spark):
     taken = [r.id for r in take_any(df, 10).collect()]
     assert len(taken) == len(set(taken)) == 10
     assert take_any(df.limit(3), 10).count() == 3
+    sample = take_any(df, 5)
+    assert sample.collect() == sample.collect()
+    assert take_any(df, 2000).count() == 1000
+
+
+def test_sample_keeps_types_and_nulls(spark):
+    schema = "a array<int>, s struct<x:string>, b binary, t timestamp_ntz, n int"
+    df = spark.createDataFrame([([1], ("x",), b"b", None, None)], schema)
+    assert take_any(df, 3).schema == df.schema and take_any(df, 3).collect() == df.collect()
+
+
+def test_streams_are_refused(spark, tmp_path):
+    stream = spark.readStream.schema("k string, v string").json(str(tmp_path))
+    with pytest.raises(ValueError, match="stream"):
+        group_by_key(stream, "k", "v")
+
+
+def test_reserved_names_are_refused(spark):
+    df = spark.createDataFrame([("a", "b")], "page string, v string")
+    with pytest.raises(ValueError):
+        group_by_key(df, "page", "v")
+    with pytest.raises(ValueError):
+        co_group({"page": (df, "v", "v")})

@@ -1,3 +1,4 @@
+import datetime as dt
 import time
 
 import pytest
@@ -83,6 +84,19 @@ def test_bounded_read_from_a_start(arrivals):
     assert ids(read_bounded(stream(), start=("id", 15))) == [15, 16, 17, 18, 19]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_start_time_does_not_depend_on_the_process_zone(spark, tmp_path, kind):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        hours = spark.range(48).select("id", F.expr(f"cast('2024-01-09 00:00:00' as {kind}) + make_interval(0,0,0,0,id)").alias("ts"))
+        hours.write.parquet(str(tmp_path / "in"))
+        stream = read_file_log(spark, str(tmp_path / "in"), f"id bigint, ts {kind}")
+        assert ids(read_bounded(stream, start=("ts", dt.datetime(2024, 1, 10)))) == list(range(24, 48))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_failure_is_raised_and_the_query_stopped(spark, arrivals, tmp_path):
     add, stream = arrivals
     add(0, 3)
