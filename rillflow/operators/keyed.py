@@ -21,7 +21,7 @@ PAGE_SIZE = 10_000
 # Hot keys are broadcast up to this many bytes, and joined by shuffle beyond.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Copies of one value handled by one row before they are spread over tasks.
-COPY_BLOCK = 1_000
+COPY_BLOCK = 100
 
 
 def count_per_element(df: DataFrame, *elements: str, alias: str = "n") -> DataFrame:

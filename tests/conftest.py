@@ -15,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[4,3]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),

@@ -108,3 +108,41 @@ def test_jdbc_batches_delete_before_they_insert(monkeypatch):
     assert names.index("delete") < names.index("save")
     options = next(step[2] for step in steps if step[0] == "options")
     assert options == {"url": "jdbc:x", "dbtable": "t", "batchsize": "500", "user": "u"}
+
+
+def test_replaced_jdbc_batch_is_deleted_by_number(monkeypatch):
+    calls = []
+
+    class Jvm:
+        """Stands in for the driver's database classes and records the calls made on them."""
+
+        def __init__(self, path=""):
+            self.path = path
+
+        def __getattr__(self, name):
+            return Jvm(f"{self.path}.{name}")
+
+        def __call__(self, *args):
+            calls.append((self.path.rsplit(".", 1)[-1], args))
+            return self
+
+    class Batch:
+        class sparkSession:
+            class sparkContext:
+                _jvm = Jvm()
+
+    table_sink._delete_batch(Batch, "jdbc:x", "alarms", {"user": "u", "driver": "d.Driver"}, 4)
+    names = [name for name, _ in calls]
+    assert ("executeUpdate", ("delete from alarms where batch_id = 4",)) in calls
+    assert ("register", ("d.Driver",)) in calls and ("setProperty", ("user", "u")) in calls
+    assert names[-1] == "close"
+
+
+def test_empty_and_capped_batches(spark, tmp_path):
+    write = file_batch_writer(str(tmp_path / "t"), rows_per_file=5)
+    write(spark.range(0, 12, 1, 1), 0)
+    write(spark.range(0), 1)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 12
+    assert len(list((tmp_path / "t" / "batch_id=0").glob("*.parquet"))) == 3
+    write(spark.range(0), 0)
+    assert spark.read.schema("id bigint").parquet(str(tmp_path / "t")).count() == 0

@@ -159,3 +159,21 @@ def test_failed_batch_is_retried_without_duplicates(spark, arrivals, tmp_path):
 def test_scratch_follows_the_session_setting(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Unset)
