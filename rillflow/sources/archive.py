@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +47,8 @@ def _open_archive(path: str) -> Iterator[zipfile.ZipFile]:
             yield archive
 
 
-def split_lines(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
-    r"""Lines of a byte stream cut anywhere, ended by ``\n``, ``\r\n`` or ``\r``."""
+def line_blocks(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The same bytes cut at line ends; a line longer than a chunk makes a longer block."""
     pending: list[bytes] = []
     for chunk in chunks:
         if pending and pending[-1].endswith(b"\r"):
@@ -57,11 +58,23 @@ def split_lines(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
         if cut == 0:
             pending.append(chunk)
             continue
-        yield (b"".join(pending) + chunk[:cut]).splitlines()
+        yield b"".join(pending) + chunk[:cut]
         pending = [chunk[cut:]] if cut < len(chunk) else []
     rest = b"".join(pending)
     if rest:
-        yield rest.splitlines()
+        yield rest
+
+
+def block_lines(block: bytes) -> pa.Array:
+    r"""Lines of a block, ended by ``\n``, ``\r\n`` or ``\r``; bytes that are not UTF-8 are replaced."""
+    if b"\r" in block:
+        block = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
+    block = block.removesuffix(b"\n")
+    try:
+        text = pa.scalar(block, pa.large_binary()).cast(pa.large_string())
+    except pa.ArrowInvalid:
+        text = pa.scalar(block.decode("utf-8", "replace"), pa.large_string())
+    return pc.split_pattern(text, "\n").values.cast(pa.string())
 
 
 def _chunks(stream) -> Iterator[bytes]:
@@ -69,14 +82,6 @@ def _chunks(stream) -> Iterator[bytes]:
         yield chunk
 
 
-def _text_array(lines: list[bytes]) -> pa.Array:
-    array = pa.array(lines, pa.binary())
-    try:
-        return array.cast(pa.string())
-    except pa.ArrowInvalid:
-        return pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
-
-
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
@@ -89,8 +94,8 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
             with _open_archive(path) as archive, archive.open(archive.infolist()[member]) as stream:
-                for lines in split_lines(_chunks(stream)):
-                    yield pa.RecordBatch.from_arrays([_text_array(lines)], ["value"])
+                for block in line_blocks(_chunks(stream)):
+                    yield pa.RecordBatch.from_arrays([block_lines(block)], ["value"])
 
 
 def read_zip_lines(spark: SparkSession, paths: str | Sequence[str], tasks: int | None = None) -> DataFrame:
