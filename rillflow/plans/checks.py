@@ -351,7 +351,7 @@ def prj_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "outcomes")
     tag_records(mixed_json(table(spark, sf_dir, "events"))).write.partitionBy("outcome").parquet(path)
     rows = spark.read.parquet(path)
-    source = F.sum(F.col("record.alarmSource").cast("bigint")).alias("sum_source")
+    source = F.coalesce(F.sum(F.col("record.alarmSource").cast("bigint")), F.lit(0)).cast("bigint").alias("sum_source")
     return rows.groupBy("outcome", "event_type").agg(F.count(F.lit(1)).alias("n"), source)
 
 

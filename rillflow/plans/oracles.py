@@ -63,7 +63,7 @@ ORACLES: dict[str, str] = {
     "prj_json_parse": """select cast(event_id as varchar) as alarmid, event_type as "alarmTitle", 'M' || user_id as "deviceModel",
         cast(user_id % 7 as int) as "alarmSource", case when event_type <> 'error' then props end as "alarmMsg" from events""",
     "prj_json_quarantine": """select case when event_type in ('purchase', 'error') then 'bad' else 'good' end as outcome, event_type,
-        count(*) as n, cast(sum(case when event_type in ('click', 'view') then user_id end) as bigint) as sum_source
+        count(*) as n, cast(sum(case when event_type in ('click', 'view') then user_id else 0 end) as bigint) as sum_source
         from events group by 1, 2""",
     "prj_json_serialise": f"select {ALARM_DOC} as doc from events",
     "prj_key_value": """select line, count(*) as n from (
