@@ -83,8 +83,8 @@ def parse_records(
 ) -> ParsedRecords | DataFrame:
     """Typed records of JSON text, as columns of ``schema``.
 
-    ``on_bad``: ``quarantine`` returns good and bad rows, ``drop`` leaves bad rows out, ``fail``
-    stops the job at the first one.
+    ``on_bad``: ``quarantine`` returns good and bad rows (two passes if both are used; ``tag_records``
+    serves both in one), ``drop`` leaves bad rows out, ``fail`` stops the job at the first one.
     """
     if on_bad not in ("quarantine", "drop", "fail"):
         raise ValueError("on_bad must be 'quarantine', 'drop' or 'fail'")

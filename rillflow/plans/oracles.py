@@ -12,8 +12,14 @@ LOCATIONS = f"(select o_orderkey, {LOCATION} as country from orders) l"
 
 VALID = "country <> 'NA' and not starts_with(country, '-') and length(country) = 2"
 
+TEXT_LINES = """select value, count(*) as n
+    from (select unnest(string_split(text, chr(10))) as value from {0}) l group by value"""
+
 LOCATION_JSON = f"select '{{\"' || country || '\":' || count(*) || '}}' as json from {LOCATIONS} where {VALID} group by country"
 
+NATION_NAMES = """select c_nationkey as k, 0 as t, c_name as v from customer
+    union all select s_nationkey, 1, s_name from supplier"""
+
 ALARM_DOC = r"""'{"alarmid":"' || event_id || '","alarmTitle":"' || event_type || '","deviceModel":"M' || user_id
     || '","alarmSource":' || (user_id % 7)
     || case when event_type <> 'error' then ',"alarmMsg":"' || replace(props, '"', '\"') || '"' else '' end || '}'"""
@@ -37,15 +43,15 @@ ORACLES: dict[str, str] = {
     "src_values": """select word, count(*) as n from (
         select * from (values ('Aggressive'), ('Bold'), ('Apprehensive'), ('Brilliant'), ('1-URGENT')) t(word)
         union all select o_orderpriority from orders) u group by word""",
-    "src_text_lines": "select value, count(*) as n from (select unnest(string_split(text, chr(10))) as value from documents) l group by value",
-    "src_zip_lines": "select value, count(*) as n from (select unnest(string_split(text, chr(10))) as value from documents) l group by value",
+    "src_text_lines": TEXT_LINES.format("documents"),
+    "src_zip_lines": TEXT_LINES.format("documents"),
     "src_zip_locations": LOCATION_JSON,
     "src_dated_paths": "select strftime(ts, '%Y%m%d') as day, count(*) as n from events group by 1",
     "stream_log_source": "select event_id, event_type from events",
     "stream_bounded_read": "select event_id from events where ts >= timestamp '2024-01-10' order by ts, event_id limit 10",
     "queue_bounded_read": "select count(*) as n from (select * from events limit 100) e",
     "snk_text_roundtrip": "select p_partkey || ',' || p_name as value from part",
-    "snk_text_copy": "select value, count(*) as n from (select unnest(string_split(text, chr(10))) as value from conversations) l group by value",
+    "snk_text_copy": TEXT_LINES.format("conversations"),
     "snk_keyed_bytes": "select 'pkey' as key, cast(event_id as varchar) as payload from events",
     "snk_routed_outputs": """select substr(p_name, 1, 1) as output, p_name as value, count(*) as n from part
         where starts_with(p_name, 's') or starts_with(p_name, 'r') group by 1, 2""",
@@ -84,7 +90,7 @@ ORACLES: dict[str, str] = {
     "agg_group_by_key_paged": group_lines("select p_brand as k, 0 as t, p_name as v from part", SMALL_PAGE),
     "join_cogroup": f"""select k || ';[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 0), '')
         || '];[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 1), '') || '];' as line
-        from ({paged("select c_nationkey as k, 0 as t, c_name as v from customer union all select s_nationkey, 1, s_name from supplier", PAGE_SIZE)}) p
+        from ({paged(NATION_NAMES, PAGE_SIZE)}) p
         group by k, page""",
     "join_cogroup3": """select k, count(*) filter (where t = 0) as n_customers, count(*) filter (where t = 1) as n_orders,
         count(*) filter (where t = 2) as n_events

@@ -26,7 +26,8 @@ def read_bounded(
 
     The read ends after ``max_records`` rows, after ``max_seconds``, or, unless ``follow`` is set, when
     everything present at the start has been read. ``start`` is a ``(column, value)`` pair: earlier
-    rows are left out; a time without zone means what it says, in the zone of the column. The landed table can be read any number of times, the source only once.
+    rows are left out; a time without zone means what it says, in the zone of the column. The landed
+    table can be read any number of times, the source only once.
     """
     if follow and max_records is None and max_seconds is None:
         raise ValueError("following a stream needs max_records or max_seconds")
