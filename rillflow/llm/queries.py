@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillflow.llm.bpe import encode_decode, token_count
 from rillflow.llm.simhash import near_duplicates
 
+VOCABULARY = "byte_bpe_50k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -20,6 +23,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Ids of every document and the text decoded from them, as digests."""
+    import public_tokenizers
+
+    done = encode_decode(_table(spark, sf_dir, "documents"), vocabulary or public_tokenizers.path(VOCABULARY))
+    return done.select(
+        "doc_id", token_count("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op8_bpe": op8_bpe,
 }
