@@ -2,4 +2,40 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from rillflow.llm.quality_rules import Limits
+
+_LIMITS = Limits()
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _windows(name: str, size: int) -> str:
+    """Word windows of ``size`` that occur twice or more in their text: row ``r`` and first word ``i``."""
+    return f"""{name}_all AS (
+      SELECT r, unnest(range(1, len(w) - {size} + 2)) AS i,
+        unnest(list_transform(range(1, len(w) - {size} + 2), lambda x: array_to_string(w[x : x + {size} - 1], ' '))) AS win
+      FROM d WHERE len(w) >= {size}),
+    {name} AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM {name}_all) WHERE c > 1)"""
+
+
+QUALITY_RULES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+{_windows("short", _LIMITS.run_words)},
+{_windows("long", _LIMITS.max_run_words + 1)},
+covered AS (SELECT DISTINCT r, i + k AS p FROM short, (SELECT unnest(range(0, {_LIMITS.run_words})) AS k)),
+rep AS (SELECT r, count(*) AS n, sum(length(w[p])) AS chars FROM covered JOIN d USING (r) GROUP BY r),
+counts AS (
+  SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(chars, 0) AS BIGINT) AS n_repeat_chars
+  FROM d LEFT JOIN rep USING (r)),
+judged AS (
+  SELECT *, n_words < {_LIMITS.min_words} OR 100 * n_repeat_words > {_LIMITS.max_repeat_percent} * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100 * n_repeat_chars <= {_LIMITS.max_covered_percent} * word_chars AND r NOT IN (SELECT r FROM long) AS kept, n_repeat_chars
+FROM judged"""
+
+ORACLES: dict[str, str] = {
+    "op5_quality_rules": QUALITY_RULES,
+}

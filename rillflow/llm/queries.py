@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.bpe import encode_decode, token_count
+from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.simhash import near_duplicates
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -23,6 +24,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_repeat_chars"]
+    return quality_rules(_table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     import public_tokenizers
@@ -35,5 +42,6 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op8_bpe": op8_bpe,
 }
