@@ -4,14 +4,16 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from rillflow.plans.checks import QUERIES
+from rillflow.plans.oracles import ORACLES
 
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
