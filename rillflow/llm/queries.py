@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rillflow.llm.bpe import encode_decode, token_count
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.simhash import near_duplicates
+from rillflow.llm.warc import page_archive
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -24,6 +25,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    done = page_archive(_table(spark, sf_dir, "pages"))
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_repeat_chars"]
@@ -42,6 +49,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_warc": op2_warc,
     "op5_quality_rules": op5_quality_rules,
     "op8_bpe": op8_bpe,
 }
