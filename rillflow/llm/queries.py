@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.bpe import encode_decode, token_count
+from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.simhash import near_duplicates
 from rillflow.llm.warc import page_archive
@@ -47,9 +48,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) ->
     )
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    scores = quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= SCORE_AT).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
     "op5_quality_rules": op5_quality_rules,
     "op8_bpe": op8_bpe,
+    "op9_quality_classifier": op9_quality_classifier,
 }
