@@ -11,6 +11,8 @@ from rillflow.llm.bpe import encode_decode, token_count
 from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.simhash import near_duplicates
+from rillflow.llm.spans import removed_bytes
+from rillflow.llm.unit_dedup import dedup_units
 from rillflow.llm.warc import page_archive
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -54,10 +56,23 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("predicted", (F.col("score") >= SCORE_AT).cast("int"))
 
 
+def _removal_digest(done: DataFrame) -> DataFrame:
+    """What was removed from each document, and a digest of what is left."""
+    return done.select(
+        "doc_id", "n_bytes", removed_bytes("removed").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines and sentences removed from every document."""
+    return _removal_digest(dedup_units(_table(spark, sf_dir, "documents"), ("line", "sentence"), min_words=8))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
     "op5_quality_rules": op5_quality_rules,
     "op8_bpe": op8_bpe,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_unit_dedup": op10_unit_dedup,
 }
