@@ -36,6 +36,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distin
   NOT base_failed AND 100 * n_repeat_chars <= {_LIMITS.max_covered_percent} * word_chars AND r NOT IN (SELECT r FROM long) AS kept, n_repeat_chars
 FROM judged"""
 
+_ITEM_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
+
+
+def _shingles(table: str, row_id: str, size: int = 5) -> str:
+    """Distinct word shingles of a table."""
+    return f"""SELECT DISTINCT {row_id}, unnest(CASE
+        WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size} + 2), lambda x: array_to_string(w[x : x + {size} - 1], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+      FROM (SELECT {row_id}, regexp_extract_all(lower(text), '{_ITEM_WORD}') AS w FROM {table})"""
+
+
+DECONTAMINATION = f"""
+WITH ds AS ({_shingles("documents", "doc_id")}),
+bs AS ({_shingles("benchmark", "item_id")}),
+total AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
+hits AS (SELECT doc_id, item_id, count(*) AS m FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_item_shingles, CAST(m AS BIGINT) AS n_shared, m / CAST(n AS DOUBLE) AS containment
+FROM hits JOIN total USING (item_id) WHERE m / CAST(n AS DOUBLE) >= 0.8"""
+
+LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents),
+solid AS (
+  SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+runs AS (
+  SELECT doc_id, seq, line AS l1, lead(line, 1) OVER w AS l2, lead(line, 2) OVER w AS l3 FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
+ranked AS (
+  SELECT doc_id, seq, row_number() OVER (PARTITION BY l1, l2, l3 ORDER BY doc_id, seq) AS copy FROM runs WHERE l3 IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, seq + k AS seq FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE copy > 1),
+places AS (SELECT doc_id, pos FROM gone JOIN solid USING (doc_id, seq)),
+left_over AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS t FROM lines ANTI JOIN places USING (doc_id, pos) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS c FROM places GROUP BY doc_id)
+SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines, CAST(coalesce(c, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents LEFT JOIN left_over USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
 ORACLES: dict[str, str] = {
+    "op4_decontamination": DECONTAMINATION,
     "op5_quality_rules": QUALITY_RULES,
+    "op6_line_dedup": LINE_DEDUP,
 }

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.bpe import encode_decode, token_count
+from rillflow.llm.decontamination import contained_items
+from rillflow.llm.line_dedup import dedup_lines
 from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.simhash import near_duplicates
@@ -34,12 +36,24 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the share of its shingles."""
+    found = contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item_shingles", "n_shared", "containment")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_repeat_chars"]
     return quality_rules(_table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, those deleted as parts of repeated runs, and a digest of the text left."""
+    done = dedup_lines(_table(spark, sf_dir, "documents"), min_lines=3)
+    return done.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     import public_tokenizers
@@ -71,7 +85,9 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
+    "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op8_bpe": op8_bpe,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_unit_dedup": op10_unit_dedup,
