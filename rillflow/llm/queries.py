@@ -14,6 +14,7 @@ from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.simhash import near_duplicates
 from rillflow.llm.spans import removed_bytes
+from rillflow.llm.suffix_dedup import dedup_strings
 from rillflow.llm.unit_dedup import dedup_units
 from rillflow.llm.warc import page_archive
 
@@ -36,6 +37,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that stand earlier, removed from every document."""
+    return _removal_digest(dedup_strings(_table(spark, sf_dir, "documents"), length=100))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the share of its shingles."""
     found = contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -85,6 +91,7 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
