@@ -12,6 +12,7 @@ from rillflow.llm.decontamination import contained_items
 from rillflow.llm.line_dedup import dedup_lines
 from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
+from rillflow.llm.secrets import review, scan
 from rillflow.llm.simhash import near_duplicates
 from rillflow.llm.spans import removed_bytes
 from rillflow.llm.suffix_dedup import dedup_strings
@@ -60,6 +61,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document, with the forest's verdict."""
+    found = scan(_table(spark, sf_dir, "documents"), review())
+    return found.select("doc_id", "word", "nth", "candidate", "score", (F.col("score") >= 0.5).alias("is_secret"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     import public_tokenizers
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_bpe": op8_bpe,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_unit_dedup": op10_unit_dedup,
