@@ -44,14 +44,23 @@ def parse_text(value: Column, schema: T.StructType = ALARM_SCHEMA) -> Column:
     return F.from_json(value, as_text, {"columnNameOfCorruptRecord": CORRUPT, "allowUnquotedFieldNames": "true"})
 
 
+def object_count(value: Column) -> Column:
+    """How many JSON values the text holds, separated by commas; NULL if anything else follows one of them."""
+    return F.size(F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<_any:string>>", {"allowUnquotedFieldNames": "true"}))
+
+
 def typed_record(parsed: Column, schema: T.StructType = ALARM_SCHEMA) -> Column:
     """The fields of ``parse_text`` cast to their types; what does not fit becomes NULL."""
     return F.struct(*[_typed(parsed[f.name], f.dataType).alias(f.name) for f in schema])
 
 
-def is_bad_record(value: Column, parsed: Column, schema: T.StructType = ALARM_SCHEMA) -> Column:
-    """True for NULL, blank or malformed text, anything but one object, and a field not fitting its type."""
-    bad = parsed.isNull() | parsed[CORRUPT].isNotNull() | ~F.rtrim(value, F.lit(" \t\r\n")).endswith("}")
+def is_bad_record(value: Column, parsed: Column, schema: T.StructType = ALARM_SCHEMA, objects: Column | None = None) -> Column:
+    """True for NULL, blank or malformed text, anything but exactly one object, and a field not fitting its type.
+
+    Text after the object, another object too, makes a row bad. ``objects`` is ``object_count`` if it is known already.
+    """
+    single = F.coalesce((object_count(value) if objects is None else objects) == 1, F.lit(False))
+    bad = ~single | parsed.isNull() | parsed[CORRUPT].isNotNull() | ~F.rtrim(value, F.lit(" \t\r\n")).endswith("}")
     for field in schema:
         if not isinstance(field.dataType, T.StringType):
             text = parsed[field.name]

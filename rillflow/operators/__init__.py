@@ -2,8 +2,8 @@
 
 from rillflow.operators.filters import route, route_output, where_location, where_prefix, where_valid_location
 from rillflow.operators.keyed import PAGE_SIZE, co_group, count_per_element, group_by_key
-from rillflow.operators.sets import flatten, take_any
-from rillflow.operators.taps import map_records, tap
+from rillflow.operators.sets import cap_rows, flatten, take_any
+from rillflow.operators.taps import map_records, tap, tapped
 from rillflow.operators.transforms import (
     ParsedRecords,
     extract_field,
@@ -18,6 +18,7 @@ from rillflow.operators.transforms import (
 __all__ = [
     "PAGE_SIZE",
     "ParsedRecords",
+    "cap_rows",
     "co_group",
     "count_per_element",
     "extract_field",
@@ -32,6 +33,7 @@ __all__ = [
     "tag_records",
     "take_any",
     "tap",
+    "tapped",
     "tokenise",
     "where_location",
     "where_prefix",

@@ -2,8 +2,9 @@
 
 ``count_per_element`` combines before the shuffle, so hot elements cost nothing extra. Grouping
 cannot combine: its result holds every value. A group is therefore kept as *pages* of about
-``page_size`` values, one row each. A group that fits in one page is one row, page 0; a larger one
-has pages 0, 1, 2, ... which together hold all its values. No task ever holds more than its pages.
+``page_size`` values or ``page_bytes`` bytes, whichever are fewer, one row each. A group that fits in one
+page is one row, page 0; a larger one has pages 0, 1, 2, ... which together hold all its values. No task ever
+holds more than its pages.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.operators.sets import flatten
-from rillflow.workspace import scratch_path
+from rillflow.workspace import land
 
 PAGE_SIZE = 10_000
+PAGE_BYTES = 64 * 1024 * 1024
 # Hot keys are broadcast up to this many bytes, and joined by shuffle beyond.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Copies of one value handled by one row before they are spread over tasks.
@@ -29,28 +31,30 @@ def count_per_element(df: DataFrame, *elements: str, alias: str = "n") -> DataFr
     return df.groupBy(*elements).agg(F.count(F.lit(1)).alias(alias))
 
 
-def group_by_key(df: DataFrame, key: str, value: str, page_size: int = PAGE_SIZE, alias: str = "values") -> DataFrame:
-    """``(key, page, values)``: all values of each key, duplicates kept, sorted within a page.
+def group_by_key(df: DataFrame, key: str, value: str, page_size: int = PAGE_SIZE, alias: str = "values", page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """``(key, page, values, size)``: all values of each key, duplicates kept, sorted within a page.
 
-    NULL is a key like any other. Batch input only; it is read once more to count the keys.
+    ``size`` is the number of values of the whole group. NULL is a key like any other. Batch input only; it is read
+    once more to measure the groups.
     """
-    if key in ("page", alias):
+    if key in ("page", "size", alias):
         raise ValueError(f"the key column must not be named {key}")
-    return co_group({alias: (df, key, value)}, page_size).withColumnRenamed("key", key)
+    grouped = co_group({alias: (df, key, value)}, page_size, page_bytes)
+    return grouped.select(F.col("key").alias(key), "page", alias, F.col("sizes")[alias].alias("size"))
 
 
-def co_group(inputs: Mapping[str, tuple[DataFrame, str, str]], page_size: int = PAGE_SIZE) -> DataFrame:
-    """``(key, page, <one list per input>)`` for every key that occurs in any input.
+def co_group(inputs: Mapping[str, tuple[DataFrame, str, str]], page_size: int = PAGE_SIZE, page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """``(key, page, <one list per input>, sizes)`` for every key that occurs in any input.
 
-    ``inputs`` maps the name of each output list to its ``(DataFrame, key column, value column)``.
-    An input without the key gives an empty list, and lists are not multiplied with each other.
-    All inputs go through one shuffle.
+    ``inputs`` maps the name of each output list to its ``(DataFrame, key column, value column)``. Lists are not
+    multiplied with each other. ``sizes`` has the number of values of the key in each input: where it is zero the
+    input lacks the key, otherwise an empty list means that the values are on other pages.
     """
-    if page_size < 1:
-        raise ValueError("page_size must be positive")
+    if page_size < 1 or page_bytes < 1:
+        raise ValueError("page_size and page_bytes must be positive")
     names = list(inputs)
-    if {"key", "page"} & set(names):
-        raise ValueError("lists must not be named key or page")
+    if {"key", "page", "sizes"} & set(names):
+        raise ValueError("lists must not be named key, page or sizes")
     if any(df.isStreaming for df, _, _ in inputs.values()):
         raise ValueError("groups of a stream never end; land it first, for instance with read_bounded")
     lists = [f"list_{i}" for i in range(len(names))]
@@ -59,18 +63,23 @@ def co_group(inputs: Mapping[str, tuple[DataFrame, str, str]], page_size: int =
         for i, (df, key, value) in enumerate(inputs.values())
     ]
     rows = flatten(*tagged)
-    hot = _hot_groups(rows, page_size)
+    hot = _hot_keys(rows, lists, page_size, page_bytes)
     page = F.lit(0).cast("bigint").alias("page")
     if hot is None:
         paged = rows.select("*", page)
     else:
-        same = rows["key"].eqNullSafe(hot["hot_key"]) & (rows["tag"] == hot["hot_tag"])
-        ordinary = rows.join(hot, same, "left_anti").select("*", page)
-        spread = _spread(rows.join(hot, same).drop("hot_key", "hot_tag"), lists)
-        paged = ordinary.unionByName(spread, allowMissingColumns=True)
-    return paged.groupBy("key", "page").agg(
+        pages = F.element_at("pages_by_tag", F.col("tag") + 1)
+        routed = rows.join(hot, rows["key"].eqNullSafe(hot["hot_key"]), "left").select(*rows.columns, F.coalesce(pages, F.lit(1)).alias("pages"))
+        ordinary = routed.where("pages = 1").drop("pages").select("*", page)
+        paged = ordinary.unionByName(_spread(routed.where("pages > 1"), lists), allowMissingColumns=True)
+    grouped = paged.groupBy("key", "page").agg(
         *[_page_values(i, column, hot is not None).alias(name) for i, (column, name) in enumerate(zip(lists, names))]
     )
+    own = [F.size(name).cast("bigint") for name in names]
+    if hot is not None:
+        grouped = grouped.join(hot, grouped["key"].eqNullSafe(hot["hot_key"]), "left")
+        own = [F.coalesce(F.get("sizes_by_tag", F.lit(i)), n) for i, n in enumerate(own)]
+    return grouped.select("key", "page", *names, F.struct(*[n.alias(name) for n, name in zip(own, names)]).alias("sizes"))
 
 
 def _value_columns(inputs: Mapping, lists: list[str], own: int, value: Column) -> list[Column]:
@@ -79,26 +88,31 @@ def _value_columns(inputs: Mapping, lists: list[str], own: int, value: Column) -
     return [(value if i == own else F.lit(None).cast(types[i])).alias(name) for i, name in enumerate(lists)]
 
 
-def _hot_groups(rows: DataFrame, page_size: int) -> DataFrame | None:
-    """Groups of more than one page with their page count, or None when there are none.
+def _value_bytes(rows: DataFrame, column: str) -> Column:
+    """Size of a value; numbers and times count as eight bytes."""
+    kind = rows.schema[column].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(column)
+    return F.octet_length(_as_text(rows, column)) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else F.lit(8)
 
-    The counts combine before their shuffle and read only the keys. Only the hot ones are stored.
+
+def _hot_keys(rows: DataFrame, lists: list[str], page_size: int, page_bytes: int) -> DataFrame | None:
+    """Keys with more than one page in any input, with sizes and page counts by input, or None when there are none.
+
+    The sums combine before their shuffle. Only the hot keys are stored.
     """
     spark = rows.sparkSession
-    path = scratch_path(spark, "hot-groups")
-    sizes = rows.groupBy("key", "tag").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > page_size)
-    pages = F.ceil(F.col("size") / F.lit(page_size)).cast("bigint")
-    sizes.select(F.col("key").alias("hot_key"), F.col("tag").alias("hot_tag"), pages.alias("pages")).write.parquet(path)
-    hot = spark.read.schema(
-        T.StructType(
-            [
-                T.StructField("hot_key", rows.schema["key"].dataType),
-                T.StructField("hot_tag", T.IntegerType()),
-                T.StructField("pages", T.LongType()),
-            ]
-        )
-    ).parquet(path)
-    key_bytes = F.coalesce(F.octet_length(F.to_json(F.struct("hot_key"))), F.lit(0)) + F.lit(16)
+    own = [F.col("tag") == i for i in range(len(lists))]
+    counts = [F.count_if(mine).alias(f"n_{i}") for i, mine in enumerate(own)]
+    volumes = [F.sum(F.when(mine, _value_bytes(rows, name))).alias(f"b_{i}") for i, (mine, name) in enumerate(zip(own, lists))]
+    sizes = rows.groupBy("key").agg(*counts, *volumes)
+    pages = [
+        F.greatest(F.lit(1), F.ceil(F.col(f"n_{i}") / F.lit(page_size)), F.ceil(F.coalesce(f"b_{i}", F.lit(0)) / F.lit(page_bytes))).cast("bigint")
+        for i in range(len(lists))
+    ]
+    measured = sizes.select(F.col("key").alias("hot_key"), F.array(*[f"n_{i}" for i in range(len(lists))]).alias("sizes_by_tag"), F.array(*pages).alias("pages_by_tag"))
+    hot = land(measured.where(F.array_max("pages_by_tag") > 1), "hot-groups")
+    key_bytes = F.coalesce(F.octet_length(F.to_json(F.struct("hot_key"))), F.lit(0)) + F.lit(32 * len(lists))
     n, size = hot.agg(F.count(F.lit(1)), F.sum(key_bytes)).first()
     if n == 0:
         return None
@@ -117,14 +131,10 @@ def _spread(rows: DataFrame, lists: list[str]) -> DataFrame:
     start = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     used = F.least("total", "pages")
     counted = counted.withColumn("start", start).withColumn("used", used)
-    few = counted.where(F.col("used") <= COPY_BLOCK).withColumn("block", F.lit(0).cast("bigint"))
-    # Values with many copies are rare but large: their blocks are dealt out to all tasks.
+    # A value with many copies is a few large rows: blocks of copies are dealt out to all tasks.
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = (
-        counted.where(F.col("used") > COPY_BLOCK)
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(used - 1) div {COPY_BLOCK}"))))
-        .repartition(tasks, "key", "tag", "start", "block")
-    )
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(used - 1) div {COPY_BLOCK}"))))
+    blocks = blocks.repartition(tasks, "key", "tag", "start", "block")
     first = F.col("block") * COPY_BLOCK
     last = F.least(first + COPY_BLOCK, F.col("used")) - 1
     copies = F.expr("total div pages") + F.when(F.col("copy") < F.col("total") % F.col("pages"), 1).otherwise(0)
@@ -133,8 +143,7 @@ def _spread(rows: DataFrame, lists: list[str]) -> DataFrame:
         for i, name in enumerate(lists)
     ]
     return (
-        few.unionByName(many)
-        .withColumn("copy", F.explode(F.sequence(first, last)))
+        blocks.withColumn("copy", F.explode(F.sequence(first, last)))
         .withColumn("copies", copies.cast("int"))
         .select("key", F.pmod(F.col("start") + F.col("copy"), F.col("pages")).alias("page"), *entries)
     )

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-# Samples up to this many rows pass through the driver.
-SMALL_SAMPLE = 1_000
+from rillflow.workspace import land
+
+# Spark numbers the rows of a partition in the lower bits of its row ids.
+_PARTITION_SHIFT = 33
 
 
 def flatten(*inputs: DataFrame) -> DataFrame:
@@ -17,13 +20,32 @@ def flatten(*inputs: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, inputs)
 
 
-def take_any(df: DataFrame, n: int) -> DataFrame:
+def take_any(df: DataFrame, n: int, stable: bool = False) -> DataFrame:
     """Any ``n`` rows: arbitrary, neither uniform nor repeatable.
 
-    A small sample is taken at once: Spark then opens only as many partitions as it needs, and every
-    use of the result sees the same rows. A large or streaming one stays a lazy limit, to which each
-    task passes on at most ``n`` rows.
+    Each task passes on at most ``n`` rows and one task picks from them, so use it for small samples and
+    ``cap_rows`` for large ones. The rows may differ at every use of the result, unless ``stable`` has them
+    written below the scratch root (batch input only).
+    """
+    taken = df.limit(n)
+    return land(taken, "sample") if stable and not df.isStreaming else taken
+
+
+def cap_rows(df: DataFrame, n: int) -> DataFrame:
+    """Exactly ``n`` rows, or all if there are fewer, without moving them to one task.
+
+    Each task writes its first ``n`` rows below the scratch root; the counts per task, a row each, then say how
+    many of them count. The result is stable. Batch input only: a stream is capped per micro-batch by the limits
+    of its source.
     """
-    if df.isStreaming or n > SMALL_SAMPLE:
-        return df.limit(n)
-    return df.sparkSession.createDataFrame(df.take(n), df.schema)
+    if df.isStreaming:
+        raise ValueError("cap a stream by the limits of its source, or land it first")
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    own = F.col("_row").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
+    kept = land(numbered.where(own < n), "capped")
+    part = F.shiftright("_row", _PARTITION_SHIFT)
+    counts = kept.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per task that has any.
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    quotas = counts.select("_part", (F.lit(n) - F.coalesce(before, F.lit(0))).alias("_quota"))
+    return kept.join(F.broadcast(quotas), part == F.col("_part")).where(own < F.col("_quota")).select(*df.columns)

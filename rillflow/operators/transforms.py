@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.functions.records import ALARM_SCHEMA, is_bad_record, parse_text, typed_record
+from rillflow.functions.records import ALARM_SCHEMA, is_bad_record, object_count, parse_text, typed_record
 from rillflow.functions.text import delimited_field, location_code, tokens
 
 
@@ -72,10 +72,11 @@ def tag_records(df: DataFrame, value: str = "value", schema: T.StructType = ALAR
     One pass for both outcomes: write with ``partitionBy("outcome")`` to keep the bad rows.
     """
     parsed = F.col("_parsed")
-    bad = is_bad_record(F.col(value), parsed, schema)
+    bad = is_bad_record(F.col(value), parsed, schema, F.col("_objects"))
     record = F.when(F.col("outcome") == "good", typed_record(parsed, schema))
-    rows = with_once(df, "_parsed", parse_text(F.col(value), schema))
-    return rows.withColumn("outcome", F.when(bad, "bad").otherwise("good")).withColumn("record", record).drop("_parsed")
+    rows = with_once(df, "_both", F.struct(parse_text(F.col(value), schema).alias("_parsed"), object_count(F.col(value)).alias("_objects")))
+    rows = rows.select("*", "_both.*").drop("_both")
+    return rows.withColumn("outcome", F.when(bad, "bad").otherwise("good")).withColumn("record", record).drop("_parsed", "_objects")
 
 
 def parse_records(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from rillflow.functions import key_value_text, to_record_json, to_text, to_utf8
 from rillflow.functions.records import ALARM_SCHEMA
 from rillflow.operators import (
+    cap_rows,
     co_group,
     count_per_element,
     extract_field,
@@ -33,8 +34,8 @@ from rillflow.operators import (
     take_any,
     tap,
     tokenise,
-    where_location,
     where_prefix,
+    where_valid_location,
     with_location,
 )
 from rillflow.plans import jobs
@@ -55,6 +56,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def alarm_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarm records as a stream; every purchase is followed by text that is no record."""
+    events = table_stream(spark, sf_dir, "events")
+    good = alarm_json(events, "event_type").select("value", "event_type")
+    value = F.when(F.col("event_type") == "purchase", F.concat("value", F.lit(" and more"))).otherwise(F.col("value"))
+    return good.select(F.lit(None).cast("string").alias("key"), value.alias("value"))
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table read as a file stream. The pattern also fits a table that is a single file."""
     schema = table(spark, sf_dir, name).schema
@@ -83,9 +92,10 @@ def order_key(line: Column) -> Column:
     return F.get(F.split(line, "\t", 2), F.lit(0)).cast("bigint")
 
 
-def alarm_json(events: DataFrame) -> DataFrame:
+def alarm_json(events: DataFrame, *others: str) -> DataFrame:
     """Alarm records as JSON text, without a message for errors."""
     return events.select(
+        *others,
         to_record_json(
             F.col("event_id").cast("string").alias("alarmid"),
             F.col("event_type").alias("alarmTitle"),
@@ -101,7 +111,10 @@ def mixed_json(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     number = F.col("user_id").cast("string")
     value = (
-        F.when(kind == "click", F.concat(F.lit('{"alarmSource":"'), number, F.lit('"}')))
+        F.when((kind == "click") & (F.col("user_id") % 5 == 1), F.concat(F.lit('{"alarmSource":"'), number, F.lit('"}{"x":2}')))
+        .when((kind == "click") & (F.col("user_id") % 5 == 2), F.concat(F.lit('{"alarmSource":"'), number, F.lit('"} junk}')))
+        .when((kind == "click") & (F.col("user_id") % 5 == 3), F.concat(F.lit('{"alarmSource":"'), number, F.lit('"},{"x":2}')))
+        .when(kind == "click", F.concat(F.lit('{"alarmSource":"'), number, F.lit('"}')))
         .when(kind == "view", F.concat(F.lit('{"alarmSource":'), number, F.lit(".0}")))
         .when(kind == "purchase", F.concat(F.lit('{"alarmSource":'), number, F.lit(".5}")))
         .when(kind == "signup", F.lit('{"ALARMID":"x"}'))
@@ -174,7 +187,7 @@ def landed(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 
 def src_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = from_values(spark, ["Aggressive", "Bold", "Apprehensive", "Brilliant", "1-URGENT"], "word string")
+    words = from_values(spark, ["apple", "quince", "1-URGENT"], "word string")
     priorities = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("word"))
     return count_per_element(flatten(words, priorities), "word")
 
@@ -220,7 +233,50 @@ def stream_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_bounded(table_stream(spark, sf_dir, "events"), max_records=100).agg(F.count(F.lit(1)).alias("n"))
+    """A capped read: how many rows, how many different ones, and how many of them are in the source."""
+    return _sample_report(spark, sf_dir, read_bounded(table_stream(spark, sf_dir, "events"), max_records=100))
+
+
+def _sample_report(spark: SparkSession, sf_dir: str, sample: DataFrame) -> DataFrame:
+    known = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", F.lit(1).alias("known"))
+    rows = sample.select("event_id", "ts", "user_id").join(known, ["event_id", "ts", "user_id"], "left")
+    counts = [F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_distinct"), F.count("known").alias("n_known")]
+    return rows.agg(*counts)
+
+
+def job_dated_location_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a folder that holds both zip archives and plain files, counted by the whole job."""
+    orders = table(spark, sf_dir, "orders")
+    source, target = written_zips(spark, order_lines(orders.where("o_orderstatus = 'F'")), "value"), scratch_path(spark, "dated-counts")
+    write_lines(order_lines(orders.where("o_orderstatus <> 'F'")), source, mode="append")
+    jobs.write_dated_location_counts(spark, "", "", target, explicit=source)
+    return read_lines(spark, target).withColumnRenamed("value", "json")
+
+
+def job_receive_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keyed bytes that were sent, received by the job."""
+    target = scratch_path(spark, "bytes-log")
+    jobs.send_bytes(table(spark, sf_dir, "events"), "parquet", {"path": target}, "event_id")
+    rows = jobs.receive_bytes(read_file_log(spark, target, "key string, value binary"))
+    return rows.select(to_text(F.col("key")).alias("key"), to_text(F.col("value")).alias("payload"))
+
+
+def job_file_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = written_text(spark, table(spark, sf_dir, "conversations"), "text")
+    return count_per_element(jobs.file_words(spark, path), "word")
+
+
+def job_main_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "main-route")
+    jobs.write_main_route(table(spark, sf_dir, "part"), target, _rules(), "p_name")
+    return count_per_element(read_lines(spark, target), "value")
+
+
+def job_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "union")
+    names = [table(spark, sf_dir, t).select(F.col(c).alias("value")) for t, c in (("customer", "c_name"), ("supplier", "s_name"))]
+    jobs.write_union(names, target, "value")
+    return read_lines(spark, target)
 
 
 # Sinks
@@ -254,6 +310,7 @@ def snk_routed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own write one target, every batch twice; all rows of both stay once."""
     target = scratch_path(spark, "replay")
     write = file_batch_writer(target)
 
@@ -262,24 +319,28 @@ def sink_idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         write(batch, batch_id)
 
     stream = table_stream(spark, sf_dir, "events").select("event_id", "event_type")
-    run_to_end(write_table_batches(stream, write_twice, scratch_path(spark, "replay-checkpoint"), available_now=True))
-    return spark.read.parquet(target).select("event_id", "event_type")
+    checkpoints = [scratch_path(spark, "replay-checkpoint") for _ in range(2)]
+    for checkpoint in [*checkpoints, *checkpoints]:
+        run_to_end(write_table_batches(stream, write_twice, checkpoint, available_now=True))
+    return spark.read.parquet(target).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stream_batched_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "table-checkpoint")
-    records = alarm_json(table_stream(spark, sf_dir, "events")).select(F.lit(None).cast("string").alias("key"), "value")
+    """Good rows as records, bad ones by their text, each once although the stream ran twice."""
+    target, bad, checkpoint = (scratch_path(spark, name) for name in ("table", "table-bad", "table-checkpoint"))
     for _ in range(2):
-        run_to_end(jobs.alarm_table(records, file_batch_writer(target), checkpoint, available_now=True))
-    return spark.read.parquet(target).select("alarmid", "alarmSource")
+        run_to_end(jobs.alarm_table(alarm_log(spark, sf_dir), file_batch_writer(target), checkpoint, file_batch_writer(bad), available_now=True))
+    good = spark.read.parquet(target).select("alarmid", "alarmSource", F.lit(None).cast("string").alias("bad_text"))
+    return good.unionByName(spark.read.parquet(bad).select(F.col("value").alias("bad_text")), allowMissingColumns=True)
 
 
 def stream_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, checkpoint = scratch_path(spark, "documents"), scratch_path(spark, "documents-checkpoint")
-    records = alarm_json(table_stream(spark, sf_dir, "events")).select(F.lit(None).cast("string").alias("key"), "value")
+    """Documents of good rows, and the texts of bad ones."""
+    target, bad, checkpoint = (scratch_path(spark, name) for name in ("documents", "documents-bad", "documents-checkpoint"))
     for _ in range(2):
-        run_to_end(jobs.alarm_documents(records, "text", {"path": target}, checkpoint, available_now=True))
-    return read_lines(spark, target).withColumnRenamed("value", "doc")
+        run_to_end(jobs.alarm_documents(alarm_log(spark, sf_dir), "text", {"path": target}, checkpoint, available_now=True, bad=file_batch_writer(bad)))
+    good = read_lines(spark, target).select(F.col("value").alias("doc"), F.lit("good").alias("outcome"))
+    return good.union(spark.read.parquet(bad).select("value", F.lit("bad")))
 
 
 def stream_kv_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,11 +357,11 @@ def fanout_country_equals(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_raw, write_counts = file_batch_writer(lines_path), file_batch_writer(counts_path)
     both = fan_out(
         [
-            lambda batch, batch_id: write_raw(log_rows(where_location(batch, "IN"), "value"), batch_id),
-            lambda batch, batch_id: write_counts(jobs.location_counts(batch), batch_id),
+            lambda batch, batch_id: write_raw(log_rows(batch.where(F.col("location") == "IN"), "value"), batch_id),
+            lambda batch, batch_id: write_counts(count_per_element(where_valid_location(batch.select("location")), "location"), batch_id),
         ]
     )
-    lines = order_lines(table_stream(spark, sf_dir, "orders"))
+    lines = with_location(order_lines(table_stream(spark, sf_dir, "orders")))
     run_to_end(write_table_batches(lines, both, scratch_path(spark, "fanout-checkpoint"), available_now=True))
     return spark.read.schema("value string").parquet(lines_path).select(order_key(F.col("value")).alias("o_orderkey"))
 
@@ -389,9 +450,13 @@ def flt_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return where_prefix(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "s")
 
 
-def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _rules() -> list[tuple[str, Column]]:
     name = F.col("p_name")
-    return route(table(spark, sf_dir, "part").select("p_partkey", "p_name"), [("A", name.startswith("s")), ("B", name.startswith("r"))])
+    return [("A", name.startswith("s")), ("B", name.startswith("r"))]
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return route(table(spark, sf_dir, "part").select("p_partkey", "p_name"), _rules())
 
 
 def flt_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,7 +464,7 @@ def flt_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flt_route_main(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return route_output(_routed(spark, sf_dir), "A").select("p_partkey")
+    return route_output(_routed(spark, sf_dir), "A", rules=_rules()).select("p_partkey")
 
 
 # Counting, grouping, co-grouping
@@ -435,7 +500,25 @@ def agg_group_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agg_group_by_key_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names per brand: few keys and few values, so that every group has several pages."""
-    return jobs.group_lines(table(spark, sf_dir, "part"), "p_brand", "p_name", SMALL_PAGE)
+    lines = jobs.group_lines(table(spark, sf_dir, "part"), "p_brand", "p_name", SMALL_PAGE)
+    parts = [F.regexp_extract("line", r"^(.*?) : \[(.*)\](?: page=\d+)?$", i).alias(c) for i, c in ((1, "k"), (2, "text"))]
+    pages = lines.select(*parts).withColumn("listed", F.split("text", ", "))
+    every = F.array_sort(F.flatten(F.collect_list("listed")))
+    n = F.sum(F.size("listed"))
+    few = (F.count(F.lit(1)) <= F.ceil(n / SMALL_PAGE)).alias("few_pages")
+    return pages.groupBy("k").agg(n.alias("n"), few, F.array_join(every, ", ").alias("listed"))
+
+
+def join_cogroup_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, suppliers and no orders per nation, on several pages: sizes and unions of the lists."""
+    customers, suppliers, orders = (table(spark, sf_dir, name) for name in ("customer", "supplier", "orders"))
+    keyless = orders.select(F.lit(-1).alias("o_nation"), "o_orderpriority").where("o_orderkey < 0")
+    inputs = {"customers": (customers, "c_nationkey", "c_name"), "suppliers": (suppliers, "s_nationkey", "s_name"), "orders": (keyless, "o_nation", "o_orderpriority")}
+    grouped = co_group(inputs, SMALL_PAGE)
+    sizes = [F.max(F.col("sizes")[name]).alias(f"n_{name}") for name in inputs]
+    same = [(F.countDistinct("sizes") == 1).alias("same_sizes")]
+    lists = [F.array_join(F.array_sort(F.flatten(F.collect_list(name))), ", ").alias(f"all_{name}") for name in ("customers", "suppliers")]
+    return grouped.groupBy(F.col("key").alias("k")).agg(*sizes, *same, *lists)
 
 
 def join_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,7 +530,7 @@ def join_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_cogroup3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, orders and events per customer key, as list sizes."""
+    """Customers, orders and events per customer key, as sizes and digests of the lists."""
     customers, orders, events = (table(spark, sf_dir, name) for name in ("customer", "orders", "events"))
     grouped = co_group(
         {
@@ -456,8 +539,11 @@ def join_cogroup3(spark: SparkSession, sf_dir: str) -> DataFrame:
             "events": (events, "user_id", "event_type"),
         }
     )
-    sizes = [F.sum(F.size(name)).alias(f"n_{name}") for name in ("customers", "orders", "events")]
-    return grouped.groupBy(F.col("key").alias("k")).agg(*sizes)
+    names = ("customers", "orders", "events")
+    sizes = [F.sum(F.size(name)).alias(f"n_{name}") for name in names]
+    texts = {name: F.array_sort(F.flatten(F.collect_list(F.transform(name, lambda v: v.cast("string"))))) for name in names}
+    digests = [F.md5(F.array_join(every, ",")).alias(f"md5_{name}") for name, every in texts.items()]
+    return grouped.groupBy(F.col("key").alias("k")).agg(*sizes, *digests)
 
 
 # Union and caps
@@ -470,7 +556,13 @@ def set_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lim_sample_any(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return take_any(table(spark, sf_dir, "events"), 10).agg(F.count(F.lit(1)).alias("n"))
+    return _sample_report(spark, sf_dir, take_any(table(spark, sf_dir, "events"), 10, stable=True))
+
+
+def lim_cap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large cap: half of all rows, without a task that sees them all."""
+    events = table(spark, sf_dir, "events")
+    return _sample_report(spark, sf_dir, cap_rows(events, events.count() // 2))
 
 
 QUERIES: dict[str, Query] = {
@@ -516,6 +608,13 @@ QUERIES: dict[str, Query] = {
         agg_group_by_key_paged,
         join_cogroup,
         join_cogroup3,
+        join_cogroup_paged,
+        job_dated_location_counts,
+        job_receive_bytes,
+        job_file_words,
+        job_main_route,
+        job_union,
+        lim_cap_rows,
         set_flatten,
         lim_sample_any,
     )

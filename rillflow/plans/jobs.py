@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,26 +20,24 @@ from rillflow.operators import (
     flatten,
     group_by_key,
     parse_records,
+    require_non_null,
     route,
     route_output,
     strip_metadata,
     tag_records,
     take_any,
-    tap,
     tokenise,
     where_valid_location,
     with_location,
 )
 from rillflow.sinks import copy_lines, log_rows, write_documents, write_lines, write_log, write_table_batches
+from rillflow.sinks.documents import takes_rows
 from rillflow.sinks.log import DEFAULT_KEY
 from rillflow.sinks.table import BatchWriter
 from rillflow.sources import dated_paths, read_dated_lines, read_lines
 from rillflow.streaming import fan_out, read_bounded
 
-# Defaults of the sampled and the capped jobs, and the location sent to its own queue.
-SAMPLE_ROWS = 10
-QUEUE_RECORDS = 100
-STREAM_SECONDS = 60
+# Fixed value: the location sent to its own queue.
 QUEUE_LOCATION = "IN"
 
 
@@ -50,7 +49,7 @@ def write_prefix_outputs(words: DataFrame, target: str, prefixes: Sequence[str]
 
 def write_main_route(words: DataFrame, target: str, rules: Sequence[tuple[str, Column]], column: str = "word") -> None:
     """Route the words and write the output of the first rule."""
-    write_lines(route_output(route(words, rules), rules[0][0]), target, column)
+    write_lines(route_output(route(words, rules), rules[0][0], rules=rules), target, column)
 
 
 def write_union(inputs: Sequence[DataFrame], target: str, column: str = "word") -> None:
@@ -61,14 +60,20 @@ def write_union(inputs: Sequence[DataFrame], target: str, column: str = "word")
 def co_group_lines(
     inputs: Mapping[str, tuple[DataFrame, str, str]], trailing_cr: bool = False, page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """``key;[..];[..];`` lines of a co-group; a group of several pages gives one line per page."""
+    """``key;[..];[..];`` lines of a co-group; a group of several pages gives one line per page, ending in ``page=<n>;``."""
     grouped = co_group(inputs, page_size)
-    return grouped.select(co_group_line(F.col("key"), [F.col(name) for name in inputs], trailing_cr).alias("line"))
+    several = reduce(lambda a, b: a | b, [F.col("sizes")[name] > F.size(name) for name in inputs], F.col("page") > 0)
+    line = co_group_line(F.col("key"), [F.col(name) for name in inputs])
+    paged = F.when(several, F.concat(line, F.lit("page="), F.col("page").cast("string"), F.lit(";"))).otherwise(line)
+    return grouped.select((F.concat(paged, F.lit("\r")) if trailing_cr else paged).alias("line"))
 
 
 def group_lines(rows: DataFrame, key: str, value: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """``key : [..]`` lines, for instance of a JDBC query; a group of several pages gives one line per page."""
-    return group_by_key(rows, key, value, page_size).select(group_line(F.col(key), F.col("values")).alias("line"))
+    """``key : [..]`` lines, for instance of a JDBC query; a group of several pages gives one line per page, ending in ``page=<n>``."""
+    line = group_line(F.col(key), F.col("values"))
+    several = (F.col("page") > 0) | (F.col("size") > F.size("values"))
+    paged = F.when(several, F.concat(line, F.lit(" page="), F.col("page").cast("string"))).otherwise(line)
+    return group_by_key(rows, key, value, page_size).select(paged.alias("line"))
 
 
 def field_count_json(lines: DataFrame, index: int = 1, on_short: str = "fail", header: str | None = None) -> DataFrame:
@@ -84,15 +89,15 @@ def location_counts(lines: DataFrame, literal: bool = False, line: str = "value"
 
 
 def location_count_json(
-    lines: DataFrame, sample: int | None = SAMPLE_ROWS, literal: bool = False, tapped: str | None = None
+    lines: DataFrame, sample: int | None = None, literal: bool = False, seen: Observation | None = None
 ) -> DataFrame:
-    """Location counts as JSON lines, of any ``sample`` records or (``None``) of all.
+    """Location counts as JSON lines, of all records or of any ``sample``.
 
-    ``tapped`` names an observation that counts the records read.
+    The observation ``seen`` gets the number ``n`` of records read.
     """
     read = lines if sample is None else take_any(lines, sample)
-    if tapped is not None:
-        read, _ = tap(read, tapped)
+    if seen is not None:
+        read = read.observe(seen, F.count(F.lit(1)).alias("n"))
     return location_counts(read, literal).select(count_json(F.col("location"), F.col("n")).alias("json"))
 
 
@@ -104,12 +109,13 @@ def write_dated_location_counts(
     start: dt.date | None = None,
     end: dt.date | None = None,
     explicit: str | None = None,
-    sample: int | None = SAMPLE_ROWS,
+    sample: int | None = None,
     literal: bool = False,
+    seen: Observation | None = None,
 ) -> None:
-    """Location counts of dated (optionally zipped) event files, written as JSON lines."""
+    """Location counts of dated (optionally zipped) event files, written as JSON lines; ``seen`` counts the records."""
     lines = read_dated_lines(spark, base, suffix, start, end, explicit)
-    write_lines(location_count_json(lines, sample, literal), target, "json")
+    write_lines(location_count_json(lines, sample, literal, seen), target, "json")
 
 
 def key_value_log(records: DataFrame, fmt: str, options: Mapping[str, str], checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -118,17 +124,26 @@ def key_value_log(records: DataFrame, fmt: str, options: Mapping[str, str], chec
     return write_log(log_rows(rows, key_value_text(F.col("key"), F.col("value"))), fmt, options, checkpoint, available_now)
 
 
-def outcome_writer(good: BatchWriter, bad: BatchWriter | None, value: str = "value") -> BatchWriter:
-    """Parse the alarm JSON of a batch once; typed records go to ``good``, raw bad rows to ``bad``."""
+def outcome_writer(good: BatchWriter, bad: BatchWriter | None, value: str = "value", required: Sequence[str] = ()) -> BatchWriter:
+    """Parse the alarm JSON of a batch once; typed records go to ``good``, raw bad rows to ``bad``.
+
+    Without ``bad`` a bad row fails the batch. So does a NULL in a ``required`` column of a good one.
+    """
 
     def write_good(tagged: DataFrame, batch_id: int) -> None:
-        good(tagged.where(F.col("outcome") == "good").select("record.*"), batch_id)
+        records = tagged.where(F.col("outcome") == "good").select("record.*")
+        good(require_non_null(records, *required) if required else records, batch_id)
 
     def write_bad(tagged: DataFrame, batch_id: int) -> None:
         bad(tagged.where(F.col("outcome") == "bad").select(value), batch_id)
 
     if bad is None:
-        return lambda batch, batch_id: write_good(tag_records(batch, value), batch_id)
+
+        def write_all(batch: DataFrame, batch_id: int) -> None:
+            records = parse_records(batch, value, on_bad="fail")
+            good(require_non_null(records, *required) if required else records, batch_id)
+
+        return write_all
     both = fan_out([write_good, write_bad])
     return lambda batch, batch_id: both(tag_records(batch, value).select(value, "outcome", "record"), batch_id)
 
@@ -139,18 +154,39 @@ def alarm_table(
     checkpoint: str,
     bad: BatchWriter | None = None,
     available_now: bool = False,
+    required: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Typed alarm records of a log into a table, batch by batch; bad rows go to ``bad`` if given."""
-    return write_table_batches(strip_metadata(records), outcome_writer(good, bad), checkpoint, available_now=available_now)
+    """Typed alarm records of a log into a table, batch by batch. Bad rows go to ``bad``, or fail the query without it.
+
+    A NULL in a ``required`` column fails the query as well.
+    """
+    return write_table_batches(strip_metadata(records), outcome_writer(good, bad, required=required), checkpoint, available_now=available_now)
 
 
 def alarm_documents(
-    records: DataFrame, fmt: str, options: Mapping[str, str], checkpoint: str, available_now: bool = False
+    records: DataFrame,
+    fmt: str,
+    options: Mapping[str, str],
+    checkpoint: str,
+    available_now: bool = False,
+    bad: BatchWriter | None = None,
 ) -> StreamingQuery:
-    """Alarm records of a log, parsed and written again as JSON documents; bad rows are left out."""
-    alarms = parse_records(strip_metadata(records), on_bad="drop")
-    docs = alarms.select(to_record_json(*ALARM_SCHEMA.names).alias("doc"))
-    return write_documents(docs, fmt, options, checkpoint=checkpoint, available_now=available_now)
+    """Alarm records of a log, parsed and written again as documents: JSON text, or rows for a format that takes rows.
+
+    Without ``bad`` a row that does not parse fails the query. With it such rows go there and the documents are
+    written batch by batch, at least once.
+    """
+
+    def write(alarms: DataFrame) -> StreamingQuery | None:
+        if takes_rows(fmt):
+            return write_documents(alarms, fmt, options, None, checkpoint=checkpoint, available_now=available_now)
+        docs = alarms.select(to_record_json(*ALARM_SCHEMA.names).alias("doc"))
+        return write_documents(docs, fmt, options, checkpoint=checkpoint, available_now=available_now)
+
+    if bad is None:
+        return write(parse_records(strip_metadata(records), on_bad="fail"))
+    both = outcome_writer(lambda alarms, _: write(alarms), bad)
+    return write_table_batches(strip_metadata(records), both, checkpoint, available_now=available_now)
 
 
 def file_words(spark: SparkSession, path: str) -> DataFrame:
@@ -175,11 +211,11 @@ def send_bytes(
 def receive_bytes(
     stream: DataFrame,
     start: tuple[str, object] | None = None,
-    max_records: int | None = SAMPLE_ROWS,
-    max_seconds: float | None = STREAM_SECONDS,
+    max_records: int | None = None,
+    max_seconds: float | None = None,
     follow: bool = False,
 ) -> DataFrame:
-    """Keyed byte records from a start time on, until a row or time limit is met."""
+    """Keyed byte records from a start time on: all present ones, or until a row or time limit is met."""
     return strip_metadata(read_bounded(stream, max_records, max_seconds, start, follow), binary=True)
 
 
@@ -190,7 +226,7 @@ def queue_to_lines_and_counts(
     docs_fmt: str,
     docs_options: Mapping[str, str],
     code: str = QUEUE_LOCATION,
-    max_records: int | None = QUEUE_RECORDS,
+    max_records: int | None = None,
     follow: bool = False,
 ) -> None:
     """Two outputs of one queue: the raw lines of one location, and a count document per location.
@@ -202,7 +238,10 @@ def queue_to_lines_and_counts(
     landed = read_bounded(coded, max_records, follow=follow)
     write_log(log_rows(landed.where(F.col("location") == code), "value"), lines_fmt, lines_options)
     counts = count_per_element(where_valid_location(landed.select("location")), "location")
-    write_documents(counts.select(count_document(F.col("location"), F.col("n")).alias("doc")), docs_fmt, docs_options)
+    if takes_rows(docs_fmt):
+        write_documents(counts, docs_fmt, docs_options, None)
+    else:
+        write_documents(counts.select(count_document(F.col("location"), F.col("n")).alias("doc")), docs_fmt, docs_options)
 
 
 def copy_dated_lines(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from rillflow.operators.keyed import PAGE_SIZE
-from rillflow.plans.checks import SMALL_PAGE
 
 LOCATION = """case o_orderpriority when '1-URGENT' then 'IN' when '2-HIGH' then 'US' when '3-MEDIUM' then '-1'
     when '4-NOT SPECIFIED' then 'I' else case when o_orderstatus = 'F' then 'X' else 'NA' end end"""
@@ -24,6 +23,11 @@ ALARM_DOC = r"""'{"alarmid":"' || event_id || '","alarmTitle":"' || event_type |
     || '","alarmSource":' || (user_id % 7)
     || case when event_type <> 'error' then ',"alarmMsg":"' || replace(props, '"', '\"') || '"' else '' end || '}'"""
 
+# Events whose alarm text is one record.
+GOOD = "event_type <> 'purchase'"
+
+SAMPLE = "select count(*) as n, count(distinct event_id) as n_distinct, count(*) as n_known from {} e"
+
 
 def paged(source: str, page_size: int) -> str:
     """``(k, t, v, page)`` of ``source(k, t, v)``: the page rule of ``rillflow.operators.keyed``."""
@@ -41,7 +45,7 @@ def group_lines(source: str, page_size: int) -> str:
 
 ORACLES: dict[str, str] = {
     "src_values": """select word, count(*) as n from (
-        select * from (values ('Aggressive'), ('Bold'), ('Apprehensive'), ('Brilliant'), ('1-URGENT')) t(word)
+        select * from (values ('apple'), ('quince'), ('1-URGENT')) t(word)
         union all select o_orderpriority from orders) u group by word""",
     "src_text_lines": TEXT_LINES.format("documents"),
     "src_zip_lines": TEXT_LINES.format("documents"),
@@ -49,15 +53,27 @@ ORACLES: dict[str, str] = {
     "src_dated_paths": "select strftime(ts, '%Y%m%d') as day, count(*) as n from events group by 1",
     "stream_log_source": "select event_id, event_type from events",
     "stream_bounded_read": "select event_id from events where ts >= timestamp '2024-01-10' order by ts, event_id limit 10",
-    "queue_bounded_read": "select count(*) as n from (select * from events limit 100) e",
+    "queue_bounded_read": SAMPLE.format("(select * from events limit 100)"),
+    "lim_cap_rows": SAMPLE.format("(select * from events limit (select count(*) // 2 from events))"),
+    "job_dated_location_counts": LOCATION_JSON,
+    "job_receive_bytes": "select 'pkey' as key, cast(event_id as varchar) as payload from events",
+    "job_file_words": """select word, count(*) as n from (
+        select unnest(string_split(replace(text, chr(10), ' '), ' ')) as word from conversations) w where word <> '' group by word""",
+    "job_main_route": "select p_name as value, count(*) as n from part where starts_with(p_name, 's') group by 1",
+    "job_union": "select c_name as value from customer union all select s_name from supplier",
+    "join_cogroup_paged": f"""select k, count(*) filter (where t = 0) as n_customers, count(*) filter (where t = 1) as n_suppliers,
+        cast(0 as bigint) as n_orders, true as same_sizes, coalesce(string_agg(v, ', ' order by v) filter (where t = 0), '') as all_customers,
+        coalesce(string_agg(v, ', ' order by v) filter (where t = 1), '') as all_suppliers from ({NATION_NAMES}) s group by k""",
     "snk_text_roundtrip": "select p_partkey || ',' || p_name as value from part",
     "snk_text_copy": TEXT_LINES.format("conversations"),
     "snk_keyed_bytes": "select 'pkey' as key, cast(event_id as varchar) as payload from events",
     "snk_routed_outputs": """select substr(p_name, 1, 1) as output, p_name as value, count(*) as n from part
         where starts_with(p_name, 's') or starts_with(p_name, 'r') group by 1, 2""",
-    "sink_idempotent_replay": "select event_id, event_type from events",
-    "stream_batched_sink": 'select cast(event_id as varchar) as alarmid, cast(user_id % 7 as int) as "alarmSource" from events',
-    "stream_json_documents": f"select {ALARM_DOC} as doc from events",
+    "sink_idempotent_replay": "select event_id, event_type, 2 * count(*) as n from events group by 1, 2",
+    "stream_batched_sink": f"""select case when {GOOD} then cast(event_id as varchar) end as alarmid,
+        case when {GOOD} then cast(user_id % 7 as int) end as "alarmSource", case when not {GOOD} then {ALARM_DOC} || ' and more' end as bad_text from events""",
+    "stream_json_documents": f"""select {ALARM_DOC} || case when {GOOD} then '' else ' and more' end as doc,
+        case when {GOOD} then 'good' else 'bad' end as outcome from events""",
     "stream_kv_concat": "select case when event_type <> 'error' then event_type else 'null' end || ' # ' || props as line from events",
     "fanout_country_equals": f"select o_orderkey from {LOCATIONS} where country = 'IN'",
     "doc_count_by_location": LOCATION_JSON.replace(" as json ", " as doc "),
@@ -68,9 +84,9 @@ ORACLES: dict[str, str] = {
     "prj_location": f"select o_orderkey, country from {LOCATIONS}",
     "prj_json_parse": """select cast(event_id as varchar) as alarmid, event_type as "alarmTitle", 'M' || user_id as "deviceModel",
         cast(user_id % 7 as int) as "alarmSource", case when event_type <> 'error' then props end as "alarmMsg" from events""",
-    "prj_json_quarantine": """select case when event_type in ('purchase', 'error') then 'bad' else 'good' end as outcome, event_type,
-        count(*) as n, cast(sum(case when event_type in ('click', 'view') then user_id else 0 end) as bigint) as sum_source
-        from events group by 1, 2""",
+    "prj_json_quarantine": """select case when event_type in ('purchase', 'error') or more then 'bad' else 'good' end as outcome, event_type,
+        count(*) as n, cast(sum(case when event_type in ('click', 'view') and not more then user_id else 0 end) as bigint) as sum_source
+        from (select *, event_type = 'click' and user_id % 5 in (1, 2, 3) as more from events) e group by 1, 2""",
     "prj_json_serialise": f"select {ALARM_DOC} as doc from events",
     "prj_key_value": """select line, count(*) as n from (
         select case when event_type <> 'error' then event_type else 'null' end || ' # ' || props as line from events) l group by line""",
@@ -87,15 +103,17 @@ ORACLES: dict[str, str] = {
     "agg_count_json": LOCATION_JSON,
     "agg_count_json_quoted": "select '{\"' || p_brand || '\": \"' || count(*) || '\"}' as json from part group by p_brand",
     "agg_group_by_key": group_lines("select o_custkey as k, 0 as t, cast(o_orderkey as varchar) as v from orders", PAGE_SIZE),
-    "agg_group_by_key_paged": group_lines("select p_brand as k, 0 as t, p_name as v from part", SMALL_PAGE),
+    "agg_group_by_key_paged": "select p_brand as k, count(*) as n, true as few_pages, string_agg(p_name, ', ' order by p_name) as listed from part group by 1",
     "join_cogroup": f"""select k || ';[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 0), '')
         || '];[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 1), '') || '];' as line
         from ({paged(NATION_NAMES, PAGE_SIZE)}) p
         group by k, page""",
     "join_cogroup3": """select k, count(*) filter (where t = 0) as n_customers, count(*) filter (where t = 1) as n_orders,
-        count(*) filter (where t = 2) as n_events
-        from (select c_custkey as k, 0 as t from customer union all select o_custkey, 1 from orders
-              union all select user_id, 2 from events) u group by k""",
+        count(*) filter (where t = 2) as n_events, md5(coalesce(string_agg(v, ',' order by v) filter (where t = 0), '')) as md5_customers,
+        md5(coalesce(string_agg(v, ',' order by v) filter (where t = 1), '')) as md5_orders,
+        md5(coalesce(string_agg(v, ',' order by v) filter (where t = 2), '')) as md5_events
+        from (select c_custkey as k, 0 as t, c_name as v from customer union all select o_custkey, 1, cast(o_orderkey as varchar) from orders
+              union all select user_id, 2, event_type from events) u group by k""",
     "set_flatten": "select c_nationkey as k from customer union all select s_nationkey from supplier",
-    "lim_sample_any": "select count(*) as n from (select * from events limit 10) e",
+    "lim_sample_any": SAMPLE.format("(select * from events limit 10)"),
 }

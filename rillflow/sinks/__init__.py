@@ -2,10 +2,11 @@
 
 from rillflow.sinks.documents import write_documents
 from rillflow.sinks.log import log_rows, write_log
-from rillflow.sinks.table import file_batch_writer, jdbc_batch_writer, with_retries, write_table_batches
+from rillflow.sinks.table import compact_batches, file_batch_writer, jdbc_batch_writer, with_retries, write_table_batches
 from rillflow.sinks.text import copy_lines, write_lines
 
 __all__ = [
+    "compact_batches",
     "copy_lines",
     "file_batch_writer",
     "jdbc_batch_writer",

@@ -12,12 +12,14 @@ from rillflow.sources.text import read_lines
 def write_lines(df: DataFrame, path: str, line: str = "value", tag: str | None = None, mode: str = "overwrite") -> None:
     """One line per row into text files below ``path``, one file per task.
 
-    With ``tag`` the rows go to one folder per value of that column, all in the same job.
+    With ``tag`` the rows go to one folder per value of that column, all in the same job. They are brought together
+    by tag first, each tag over a number of tasks that run-time re-planning chooses by its size, so that there are
+    not as many files as tasks times tags.
     """
     if tag is None:
         df.select(line).write.mode(mode).text(path)
     else:
-        df.select(line, tag).write.mode(mode).partitionBy(tag).text(path)
+        df.select(line, tag).hint("rebalance", tag).write.mode(mode).partitionBy(tag).text(path)
 
 
 def copy_lines(spark: SparkSession, source: str | Sequence[str], target: str) -> None:

@@ -8,9 +8,11 @@ member has to fit in memory. One deflated member cannot be split: it is read by
 from __future__ import annotations
 
 import io
+import itertools
 import sys
 import urllib.parse
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -23,6 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHUNK_BYTES = 4 * 1024 * 1024
 # Archives up to this size are read in one go.
 TINY_BYTES = 64 * 1024
+# Fixed value: length of the header that stands before a member.
+LOCAL_HEADER = 30
+MEMBER = ("member", "offset", "size", "method", "crc", "encrypted")
 
 # The task functions below travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -83,19 +88,66 @@ def _chunks(stream) -> Iterator[bytes]:
 
 
 def _list_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where each member lies, so that reading it needs no directory."""
     for batch in batches:
         for path in batch.column("path").to_pylist():
             with _open_archive(path) as archive:
-                members = [i for i, info in enumerate(archive.infolist()) if not info.is_dir()]
-            yield pa.RecordBatch.from_pydict({"path": [path] * len(members), "member": pa.array(members, pa.int32())})
+                found = [(i, m.header_offset, m.compress_size, m.compress_type, m.CRC, m.flag_bits & 1) for i, m in enumerate(archive.infolist()) if not m.is_dir()]
+            columns = [pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * len(MEMBER))]
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(found), pa.string()), *columns], ["path", *MEMBER])
+
+
+def _member_chunks(file, offset: int, size: int, method: int, crc: int) -> Iterator[bytes]:
+    """Inflated pieces of one member, read from its place in the archive."""
+    file.seek(offset)
+    header = file.read(LOCAL_HEADER)
+    if header[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile("no member where the directory says")
+    name, extra = int.from_bytes(header[26:28], "little"), int.from_bytes(header[28:30], "little")
+    file.seek(offset + LOCAL_HEADER + name + extra)
+    inflate = zlib.decompressobj(-zlib.MAX_WBITS) if method == zipfile.ZIP_DEFLATED else None
+    seen = 0
+    while size:
+        data = file.read(min(CHUNK_BYTES, size))
+        if not data:
+            raise zipfile.BadZipFile("the archive ends within a member")
+        size -= len(data)
+        while data:
+            out = data if inflate is None else inflate.decompress(data, CHUNK_BYTES)
+            data = b"" if inflate is None else inflate.unconsumed_tail
+            seen = zlib.crc32(out, seen)
+            if out:
+                yield out
+    if inflate is not None and (out := inflate.flush()):
+        seen = zlib.crc32(out, seen)
+        yield out
+    if seen != crc:
+        raise zipfile.BadZipFile("a member differs from its check sum")
 
 
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
-            with _open_archive(path) as archive, archive.open(archive.infolist()[member]) as stream:
-                for block in line_blocks(_chunks(stream)):
-                    yield pa.RecordBatch.from_arrays([block_lines(block)], ["value"])
+        rows = sorted(zip(*(batch.column(c).to_pylist() for c in ("path", *MEMBER))))
+        for path, members in itertools.groupby(rows, lambda row: row[0]):
+            files, inner = open_file_system(path)
+            with files.open_input_file(inner) as file:
+                for _, index, offset, size, method, crc, encrypted in members:
+                    if method in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED) and not encrypted:
+                        blocks = line_blocks(_member_chunks(file, offset, size, method, crc))
+                    else:
+                        blocks = _other_blocks(path, index)
+                    yield from _joined(blocks)
+
+
+def _other_blocks(path: str, index: int) -> Iterator[bytes]:
+    """Members in rarer formats, by way of the directory."""
+    with _open_archive(path) as archive, archive.open(archive.infolist()[index]) as stream:
+        yield from line_blocks(_chunks(stream))
+
+
+def _joined(blocks: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    for block in blocks:
+        yield pa.RecordBatch.from_arrays([block_lines(block)], ["value"])
 
 
 def read_zip_lines(spark: SparkSession, paths: str | Sequence[str], tasks: int | None = None) -> DataFrame:
@@ -109,7 +161,7 @@ def read_zip_lines(spark: SparkSession, paths: str | Sequence[str], tasks: int |
         .load(paths if isinstance(paths, str) else list(paths))
         .select("path")
     )
-    members = archives.mapInArrow(_list_members, "path string, member int")
+    members = archives.mapInArrow(_list_members, "path string, " + ", ".join(f"{c} long" for c in MEMBER))
     # A fixed number of partitions, as these few bytes stand for much data and must not be merged.
     dealt = members.repartition(tasks or 4 * spark.sparkContext.defaultParallelism, "path", "member")
     return dealt.mapInArrow(_read_members, "value string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rillflow.sources.archive import read_zip_lines
 from rillflow.sources.text import read_lines
@@ -42,7 +43,14 @@ def read_dated_lines(
     end: dt.date | None = None,
     explicit: str | None = None,
 ) -> DataFrame:
-    """Lines of the dated files; only the named days are listed and read. A missing day fails."""
+    """Lines of the dated files; only the named days are listed and read. A missing day fails.
+
+    Each file below the paths is read by its own name: members of zip archives, and lines of all others, which
+    Spark unpacks by their suffix.
+    """
     paths = dated_paths(base, suffix, start, end, explicit)
-    zipped = all(path.lower().endswith(".zip") for path in paths)
-    return read_zip_lines(spark, paths) if zipped else read_lines(spark, paths)
+    if all(path.lower().endswith(".zip") for path in paths):
+        return read_zip_lines(spark, paths)
+    # The condition on the file name keeps archives out of the scan.
+    plain = read_lines(spark, paths).where(~F.lower("_metadata.file_name").endswith(".zip"))
+    return plain.union(read_zip_lines(spark, paths))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rillflow.workspace import scratch_path
+from rillflow.workspace import remove, scratch_path
 
 POLL_SECONDS = 0.2
 
@@ -27,7 +27,9 @@ def read_bounded(
     The read ends after ``max_records`` rows, after ``max_seconds``, or, unless ``follow`` is set, when
     everything present at the start has been read. ``start`` is a ``(column, value)`` pair: earlier
     rows are left out; a time without zone means what it says, in the zone of the column. The landed
-    table can be read any number of times, the source only once.
+    table can be read any number of times, the source only once; delete its folder (``target``) when done. A row limit
+    passes the rows of each micro-batch through one task, so for a large one bound the micro-batches too,
+    by ``files_per_batch`` or the limit of a connector.
     """
     if follow and max_records is None and max_seconds is None:
         raise ValueError("following a stream needs max_records or max_seconds")
@@ -35,15 +37,18 @@ def read_bounded(
     rows = stream if start is None else stream.where(F.col(start[0]) >= _bound(stream, *start))
     if max_records is not None:
         rows = rows.limit(max_records)
-    landing = target or scratch_path(spark, "landing")
+    landing, checkpoint = target or scratch_path(spark, "landing"), scratch_path(spark, "landing-checkpoint")
     writer = (
         rows.observe("landed", F.count(F.lit(1)).alias("n"))
         .writeStream.format("parquet")
         .option("path", landing)
-        .option("checkpointLocation", scratch_path(spark, "landing-checkpoint"))
+        .option("checkpointLocation", checkpoint)
     )
     query = (writer if follow else writer.trigger(availableNow=True)).start()
-    _wait(query, max_records, max_seconds)
+    try:
+        _wait(query, max_records, max_seconds)
+    finally:
+        remove(spark, checkpoint)  # the read is over; only the landed table is used on
     return spark.read.schema(stream.schema).parquet(landing)
 
 

@@ -63,3 +63,11 @@ def scratch(spark: SparkSession) -> Iterator:
         yield new
     finally:
         remove(spark, *made)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that this package has left below the scratch root: landed tables, checkpoints, lists of hot keys.
+
+    Call it when no DataFrame of the package and no query is in use any more.
+    """
+    remove(spark, f"{scratch_root(spark)}/rillflow")

@@ -144,7 +144,7 @@ def test_queue_is_read_once_for_both_outputs(spark, log, tmp_path):
         follow=True,
     )
     assert written(str(lines)) == [{"value": line}] * 3
-    assert written(str(docs)) == [{"doc": '{"IN":3}'}]
+    assert written(str(docs)) == [{"location": "IN", "n": 3}]
 
 
 def test_keyed_bytes_and_documents_with_ids(spark, log):

@@ -5,9 +5,12 @@ import json
 import zipfile
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from rillflow.operators import map_records, route, route_output, tap
+from pyspark.sql import Observation
+
+from rillflow.operators import map_records, route, route_output, tap, tapped
 from rillflow.plans import jobs
 from rillflow.sinks import file_batch_writer
 from rillflow.sources import read_file_log, read_lines
@@ -94,7 +97,7 @@ def test_location_counts_whole_sampled_and_literal(spark):
     literal = jobs.location_count_json(df, sample=None, literal=True)
     assert sorted(r.json for r in literal.collect()) == ['{"-1":2}', '{"-2":1}']
     many = spark.createDataFrame([(event_line("IN"),)] * 50, "value string").repartition(4)
-    assert [r.json for r in jobs.location_count_json(many).collect()] == ['{"IN":10}']
+    assert [r.json for r in jobs.location_count_json(many, sample=10).collect()] == ['{"IN":10}']
 
 
 def test_dated_location_counts(spark, tmp_path):
@@ -119,15 +122,36 @@ def test_alarm_table_with_quarantine(spark, log_folder, tmp_path):
     stream = log_folder([(None, ALARM), (None, "oops"), (None, '{"alarmSource":3.5}')])
     good, bad = file_batch_writer(str(tmp_path / "good")), file_batch_writer(str(tmp_path / "bad"))
     run_to_end(jobs.alarm_table(stream, good, str(tmp_path / "c"), bad, available_now=True))
-    row = spark.read.parquet(str(tmp_path / "good")).drop("batch_id").collect()
+    row = spark.read.parquet(str(tmp_path / "good")).drop("batch_id", "query_id").collect()
     assert [tuple(r) for r in row] == [("1", "t", "d", 3, "m")]
     assert {r.value for r in spark.read.parquet(str(tmp_path / "bad")).collect()} == {"oops", '{"alarmSource":3.5}'}
 
 
 def test_alarm_documents(spark, log_folder, tmp_path):
     stream = log_folder([(None, ALARM), (None, "oops"), (None, '{"alarmid":"2","other":1}')])
-    run_to_end(jobs.alarm_documents(stream, "text", {"path": str(tmp_path / "o")}, str(tmp_path / "c"), available_now=True))
+    bad = file_batch_writer(str(tmp_path / "bad"))
+    run_to_end(jobs.alarm_documents(stream, "text", {"path": str(tmp_path / "o")}, str(tmp_path / "c"), available_now=True, bad=bad))
     assert text(spark, tmp_path / "o") == sorted([ALARM, '{"alarmid":"2"}'])
+    assert [r.value for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["oops"]
+    with pytest.raises(StreamingQueryException, match="bad record"):
+        run_to_end(jobs.alarm_documents(stream, "text", {"path": str(tmp_path / "o2")}, str(tmp_path / "c2"), available_now=True))
+
+
+def test_alarm_documents_as_rows(spark, log_folder, tmp_path):
+    stream = log_folder([(None, ALARM)])
+    run_to_end(jobs.alarm_documents(stream, "parquet", {"path": str(tmp_path / "o")}, str(tmp_path / "c"), available_now=True))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "o")).collect()] == [("1", "t", "d", 3, "m")]
+
+
+def test_bad_rows_and_required_columns_fail_the_batch(spark, tmp_path):
+    batch = spark.createDataFrame([(ALARM,), ("oops",), ('{"alarmid":"2"}',)], "value string")
+    good, bad = file_batch_writer(str(tmp_path / "good")), file_batch_writer(str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="bad record"):
+        jobs.outcome_writer(good, None)(batch, 0)
+    with pytest.raises(Exception, match="NULL in alarmMsg"):
+        jobs.outcome_writer(good, bad, required=["alarmid", "alarmMsg"])(batch, 1)
+    jobs.outcome_writer(good, bad, required=["alarmid"])(batch, 2)
+    assert spark.read.parquet(str(tmp_path / "good")).where("batch_id = 2").count() == 2
 
 
 def test_words_of_a_file(spark, tmp_path):
@@ -166,6 +190,29 @@ def test_tap_counts_without_changing_the_flow(spark, words):
     assert seen.get == {"n": 4}
 
 
+def test_streams_are_tapped_by_name(log_folder, tmp_path):
+    stream, none = tap(log_folder([("a", "b"), ("c", "d")]), "seen")
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    run_to_end(query)
+    assert none is None and tapped(query, "seen") == 2
+
+
+def test_job_counts_what_it_read(spark):
+    seen = Observation("read")
+    lines = spark.createDataFrame([(v,) for v in EVENTS], "value string")
+    jobs.location_count_json(lines, seen=seen).collect()
+    assert seen.get == {"n": len(EVENTS)}
+
+
+def test_pages_are_named_in_lines(spark):
+    many = spark.createDataFrame([("k", str(i)) for i in range(25)] + [("j", "x")], "k string, v string")
+    one = spark.createDataFrame([("k", "r")], "k string, v string")
+    lines = [r.line for r in jobs.group_lines(many, "k", "v", 10).collect()]
+    assert "j : [x]" in lines and {x.rpartition(" ")[2] for x in lines if x.startswith("k")} <= {"page=0", "page=1", "page=2"}
+    lines = [r.line for r in jobs.co_group_lines({"a": (many, "k", "v"), "b": (one, "k", "v")}, page_size=10).collect()]
+    assert "j;[x];[];" in lines and all("page=" in x for x in lines if x.startswith("k"))
+
+
 def test_user_function_may_drop_and_multiply_rows(spark):
     def copies(batches):
         for batch in batches:

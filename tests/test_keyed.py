@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from rillflow.operators import co_group, count_per_element, flatten, group_by_key, take_any
+from rillflow.operators import cap_rows, co_group, count_per_element, flatten, group_by_key, take_any
 from rillflow.operators import keyed
 
 
@@ -130,11 +130,35 @@ def test_take_any(spark):
     taken = [r.id for r in take_any(df, 10).collect()]
     assert len(taken) == len(set(taken)) == 10
     assert take_any(df.limit(3), 10).count() == 3
-    sample = take_any(df, 5)
+    sample = take_any(df, 5, stable=True)
     assert sample.collect() == sample.collect()
     assert take_any(df, 2000).count() == 1000
 
 
+@pytest.mark.parametrize("n", [0, 1, 124, 125, 126, 999, 1000, 5000])
+def test_cap_rows(spark, n):
+    capped = cap_rows(spark.range(0, 1000, 1, 8), n)
+    rows = [r.id for r in capped.collect()]
+    assert len(rows) == len(set(rows)) == min(n, 1000)
+    assert "SinglePartition" not in capped.select("id")._jdf.queryExecution().executedPlan().toString().partition("BroadcastExchange")[0]
+
+
+def test_sizes_tell_absent_from_elsewhere(spark):
+    left = spark.createDataFrame([("k", str(i)) for i in range(95)], "k string, v string")
+    right = spark.createDataFrame([("k", "r"), ("j", "s")], "k string, v string")
+    rows = co_group({"a": (left, "k", "v"), "b": (right, "k", "v")}, 10).collect()
+    assert {(r.key, tuple(r.sizes)) for r in rows} == {("k", (95, 1)), ("j", (0, 1))}
+    assert {r["size"] for r in group_by_key(left, "k", "v", 10).collect()} == {95}
+
+
+def test_pages_are_bounded_by_bytes(spark):
+    rows = [("k", str(i) * 500) for i in range(10, 50)]
+    df = spark.createDataFrame(rows, "k string, v string")
+    pages = group_by_key(df, "k", "v", page_bytes=5000).collect()
+    assert Counter(v for r in pages for v in r["values"]) == Counter(v for _, v in rows)
+    assert len(pages) > 4 and max(sum(map(len, r["values"])) for r in pages) < 20_000
+
+
 def test_sample_keeps_types_and_nulls(spark):
     schema = "a array<int>, s struct<x:string>, b binary, t timestamp_ntz, n int"
     df = spark.createDataFrame([([1], ("x",), b"b", None, None)], schema)

@@ -7,7 +7,7 @@ import __spark_entry__ as entry_points
 from rillflow.plans.checks import QUERIES
 from rillflow.plans.oracles import ORACLES
 
-KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+KINDS = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
 
 
 def test_every_query_has_sql():

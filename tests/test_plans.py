@@ -23,6 +23,26 @@ def test_prefix_filter_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in text
 
 
+def test_routes_reach_the_scan(spark, sf_dir):
+    text = plan(checks.flt_route(spark, sf_dir))
+    assert "Or(StringStartsWith(p_name,s),StringStartsWith(p_name,r))" in text
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        pushed = plan(checks.flt_route_main(spark, sf_dir)).partition("PushedFilters: [")[2].partition("]")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert pushed.split(", ").count("StringStartsWith(p_name,s)") == 1
+
+
+def test_scans_of_grouped_input(spark, sf_dir):
+    """Without hot keys one scan. With them two, one for ordinary and one for paged rows, both pruned."""
+    part = checks.table(spark, sf_dir, "part")
+    assert plan(group_by_key(part, "p_brand", "p_name")).count("FileScan") == 1
+    paged = plan(group_by_key(part, "p_brand", "p_name", page_size=3))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", paged)
+    assert sum("p_brand" in s for s in scans) == 2
+
+
 def test_count_combines_before_its_only_shuffle(spark, sf_dir):
     df = count_per_element(checks.table(spark, sf_dir, "orders"), "o_orderpriority")
     text = plan(df)

@@ -33,6 +33,11 @@ BAD = [
     '[{"alarmid":"q"}]',
     '{"alarmid":',
     '{"alarmid":"1"} trailing',
+    '{"alarmid":"1"}{"x":2}',
+    '{"alarmid":"1"} junk}',
+    '{"alarmid":"1"},{"alarmid":"2"}',
+    '{"alarmid":"1"}}',
+    '{"alarmid":"1"}]',
     "3",
     '"text"',
 ]
@@ -75,7 +80,8 @@ def test_outcomes_are_written_in_one_pass(spark, mixed, tmp_path):
 
 def test_parsing_happens_once(spark, mixed):
     plan = parse_records(mixed, on_bad="drop")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    # Once for the fields, once for the number of objects.
+    assert plan.count("from_json") == 2
 
 
 def test_serialising_leaves_nulls_out(spark):

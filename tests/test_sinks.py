@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillflow.sinks import (
+    compact_batches,
     copy_lines,
     file_batch_writer,
     jdbc_batch_writer,
@@ -10,9 +11,11 @@ from rillflow.sinks import (
     write_documents,
     write_lines,
     write_log,
+    write_table_batches,
 )
 from rillflow.sinks import table as table_sink
 from rillflow.sources import read_lines
+from rillflow.streaming import run_to_end
 
 
 def test_text_round_trip_and_copy(spark, tmp_path):
@@ -60,6 +63,26 @@ def test_replayed_batch_changes_nothing_and_duplicates_stay(spark, tmp_path):
     assert {r.batch_id for r in rows.collect()} == {0, 1}
 
 
+def test_checkpoints_keep_their_batches_apart(spark, tmp_path):
+    target = str(tmp_path / "t")
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    for checkpoint in ("a", "b", "a"):
+        run_to_end(write_table_batches(stream, file_batch_writer(target), str(tmp_path / checkpoint), available_now=True))
+    rows = spark.read.parquet(target)
+    assert sorted(r.id for r in rows.collect()) == sorted([*range(5)] * 2)
+    compact_batches(spark, target, str(tmp_path / "compact"))
+    assert spark.read.parquet(str(tmp_path / "compact")).select("id", "batch_id", "query_id").exceptAll(rows.select("id", "batch_id", "query_id")).count() == 0
+
+
+def test_documents_as_rows(spark, tmp_path):
+    df = spark.createDataFrame([("IN", 3)], "location string, n long")
+    write_documents(df, "parquet", {"path": str(tmp_path / "d")}, None)
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "d")).collect()] == [("IN", 3)]
+    with pytest.raises(ValueError, match="one text per row"):
+        write_documents(df, "text", {"path": str(tmp_path / "e")}, None)
+
+
 def test_retries_with_growing_pauses():
     calls, pauses = [], []
 
@@ -143,6 +166,6 @@ def test_empty_and_capped_batches(spark, tmp_path):
     write(spark.range(0, 12, 1, 1), 0)
     write(spark.range(0), 1)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 12
-    assert len(list((tmp_path / "t" / "batch_id=0").glob("*.parquet"))) == 3
+    assert len(list((tmp_path / "t" / "query_id=none" / "batch_id=0").glob("*.parquet"))) == 3
     write(spark.range(0), 0)
     assert spark.read.schema("id bigint").parquet(str(tmp_path / "t")).count() == 0

@@ -3,6 +3,7 @@ import gzip
 import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from rillflow.sources import JdbcSplit, dated_paths, from_values, jdbc_options, read_dated_lines, read_lines, read_log, read_zip_lines
@@ -47,6 +48,41 @@ def test_zip_members(spark, tmp_path, monkeypatch):
     assert values(read_zip_lines(spark, str(tmp_path))) == sorted(want)
 
 
+def test_rarer_methods_and_spoilt_members(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "b.zip", "w", zipfile.ZIP_BZIP2) as z:
+        z.writestr("x", "one\ntwo")
+    assert values(read_zip_lines(spark, str(tmp_path))) == ["one", "two"]
+    with zipfile.ZipFile(tmp_path / "c.zip", "w") as z:
+        z.writestr("x", "plain text")
+    data = (tmp_path / "c.zip").read_bytes().replace(b"plain text", b"plain tex!")
+    (tmp_path / "c.zip").write_bytes(data)
+    with pytest.raises(Exception, match="check sum"):
+        read_zip_lines(spark, str(tmp_path / "c.zip")).collect()
+
+
+def test_many_members_take_one_directory(tmp_path, monkeypatch):
+    """The directory of an archive is parsed once, by the listing, however many members it has."""
+    path = str(tmp_path / "many.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(4000):
+            z.writestr(f"{i}.txt", f"line {i}\n")
+    opened = []
+    real = archive._open_archive
+    monkeypatch.setattr(archive, "_open_archive", lambda p: opened.append(p) or real(p))
+    listed = archive._list_members([pa.RecordBatch.from_pydict({"path": [path]})])
+    lines = [v for batch in archive._read_members(listed) for v in batch.column(0).to_pylist()]
+    assert sorted(lines) == sorted(f"line {i}" for i in range(4000)) and len(opened) == 1
+
+
+def test_folder_of_archives_and_plain_files(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x", "one\ntwo")
+    (tmp_path / "b.csv").write_text("three\n")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as file:
+        file.write("four\n")
+    assert values(read_dated_lines(spark, "", explicit=str(tmp_path))) == ["four", "one", "three", "two"]
+
+
 def test_lines_of_chunks_cut_anywhere():
     rng = random.Random(5)
     for _ in range(500):

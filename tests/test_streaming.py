@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import time
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from rillflow.sinks import file_batch_writer, write_log, write_table_batches
 from rillflow.sources import read_file_log
 from rillflow.streaming import fan_out, read_bounded, run_to_end
-from rillflow.workspace import scratch_path, scratch_root
+from rillflow.workspace import scratch, scratch_path, scratch_root
 
 
 @pytest.fixture
@@ -161,6 +162,19 @@ def test_scratch_follows_the_session_setting(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_nothing_is_left_but_the_landed_table(spark, arrivals):
+    folder = pathlib.Path(scratch_root(spark), "rillflow")
+    before = set(folder.iterdir()) if folder.exists() else set()
+    add, stream = arrivals
+    add(0, 3)
+    read_bounded(stream())
+    left = {p.name.split("-")[0] for p in set(folder.iterdir()) - before}
+    assert left == {"landing"}
+    with scratch(spark) as new:
+        spark.range(3).write.parquet(new("some"))
+    assert {p.name.split("-")[0] for p in set(folder.iterdir()) - before} == {"landing"}
+
+
 def test_scratch_on_a_cluster_needs_a_shared_folder():
     class Unset:
         class conf:
