@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from rillflow import workspace
 from rillflow.sinks import file_batch_writer, write_log, write_table_batches
 from rillflow.sources import read_file_log
 from rillflow.streaming import fan_out, read_bounded, run_to_end
@@ -175,6 +176,14 @@ def test_nothing_is_left_but_the_landed_table(spark, arrivals):
     assert {p.name.split("-")[0] for p in set(folder.iterdir()) - before} == {"landing"}
 
 
+def test_clean_removes_what_was_left(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "scratch_root", lambda _: str(tmp_path))
+    assert workspace.land(spark.range(3), "some").count() == 3
+    assert [p.name.split("-")[0] for p in (tmp_path / "rillflow").iterdir()] == ["some"]
+    workspace.clean(spark)
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_scratch_on_a_cluster_needs_a_shared_folder():
     class Unset:
         class conf:
