@@ -56,21 +56,20 @@ def repeated_runs(lines: DataFrame, min_lines: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, mark, n_lines, removed, kept)`` for each different ``(id, text)``: numbers of deleted lines, and the text left.
+    """``(id, n_lines, removed, kept)``, a row per row of ``docs``: numbers of deleted lines, and the text left.
 
     A run of at least ``min_lines`` lines is deleted where it also stands in a document with a smaller id or
     earlier in its own document; copies may overlap. Lines without a word are not part of runs and stay. Rows that
     share an id are ties and keep each other's lines; a NULL id ranks last, and rows with a NULL id are ties. A NULL
-    text has no lines and stays NULL. Rows equal in id and text give one row. Other columns are ignored. An empty
-    table gives no rows.
+    text has no lines and stays NULL. Other columns are ignored. An empty table gives no rows.
     """
     rows = _keyed(docs, id_col, text_col)
     marked = _removed(rows, min_lines)
     gone = F.coalesce("removed", F.array().cast("array<int>"))
     joined = rows.join(marked, _same_row(rows), "left").select("id", "mark", "text", gone.alias("removed"))
     lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
-    out = joined.select("id", "mark", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(lines).alias("n_lines"), "removed", _without("text", "removed").alias("kept"))
-    return out.dropDuplicates(["id", "mark"]).withColumnRenamed("id", id_col)
+    out = joined.select("id", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(lines).alias("n_lines"), "removed", _without("text", "removed").alias("kept"))
+    return out.withColumnRenamed("id", id_col)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
