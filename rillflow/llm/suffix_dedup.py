@@ -26,14 +26,16 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.spans import remove_spans
 from rillflow.workspace import land
-
 LENGTH = 100
 GRAM = 24
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 # The bit table of repeated grams: 16 MB, collected in chunks.
 FILTER_BITS = 27
 CHUNK_BITS = 17
+CODEC = "zstd"
 HEAD = 8  # bytes of the gram's hash, which lead a suffix in the sort
+# Grams with fewer places than this are never spread: they are some 60 MB in a task.
+HOT_ROWS = 100_000
 NO_ID = np.iinfo(np.int64).max
 
 _ODD = 0x9E3779B97F4A7C15
@@ -51,16 +53,23 @@ class Anchors:
 
     def __init__(self, length: int, gram: int) -> None:
         self.length, self.gram, self.width = length, gram, length - gram + 1
-        self.up = self.down = np.zeros(0, np.uint64)
+        self.up = self.down = self.sums = np.zeros(0, np.uint64)
 
     def hashes(self, data: np.ndarray) -> np.ndarray:
         """Hash of the gram at every position."""
         if len(self.up) < len(data) + 1:
             self.up, self.down = _powers(_ODD, len(data) + 1), _powers(pow(_ODD, -1, 1 << 64), len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[data] * self.down[: len(data)], out=sums[1:])
-        h = (sums[self.gram :] - sums[: -self.gram]) * self.up[: len(data) - self.gram + 1]
-        h ^= h >> np.uint64(32)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * self.down[: len(data)], out=self.sums[1:])
+        return self.spread((self.sums[self.gram :] - self.sums[: -self.gram]) * self.up[: len(data) - self.gram + 1])
+
+    def string_hashes(self, starts: np.ndarray) -> np.ndarray:
+        """Hashes of whole strings of the data looked at last."""
+        return self.spread((self.sums[starts + self.length] - self.sums[starts]) * self.up[starts])
+
+    @staticmethod
+    def spread(h: np.ndarray) -> np.ndarray:
+        h = h ^ (h >> np.uint64(32))
         h *= np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(32))
 
@@ -121,9 +130,12 @@ def _slices(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray, np
 
 def _gathered(data: np.ndarray, starts: np.ndarray, width: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Byte rows ``data[start : start + width]``, zero outside ``[low, high)``."""
-    at = starts[:, None] + np.arange(width)
-    ok = (at >= low[:, None]) & (at < high[:, None])
-    return np.where(ok, data[np.clip(at, 0, len(data) - 1)], 0).astype(np.uint8)
+    around = np.concatenate((np.zeros(width, np.uint8), data, np.zeros(width, np.uint8)))
+    rows = np.lib.stride_tricks.sliding_window_view(around, width)[starts + width]
+    column = np.arange(width, dtype=np.int16)
+    rows[column < np.clip(low - starts, 0, width).astype(np.int16)[:, None]] = 0
+    rows[column >= np.clip(high - starts, 0, width).astype(np.int16)[:, None]] = 0
+    return rows
 
 
 def _neighbours(rows: np.ndarray) -> np.ndarray:
@@ -152,6 +164,10 @@ def front_decode(common: np.ndarray, rests: bytes, width: int) -> list[bytes]:
     return out
 
 
+def packed_bytes(data: bytes) -> bytes:
+    return pa.compress(data, CODEC, asbytes=True)
+
+
 def common_prefix(a: bytes, b: bytes, known: int) -> int:
     """Common prefix length of two strings of one length that share ``known`` bytes."""
     x = int.from_bytes(a[known:], "big") ^ int.from_bytes(b[known:], "big")
@@ -255,13 +271,14 @@ RUN = "part long, commons binary, rests binary, lefts binary, low binary, high b
 SPAN = "id long, mark long, start long, end long"
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, parts: int | None = None) -> DataFrame:
+def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, parts: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(id, mark, start, end)``: spans whose union is all bytes in strings of ``length`` that also stand earlier.
 
-    ``rows`` are ``(id long, mark long, text binary)``.
+    ``rows`` are ``(id long, mark long, text binary)``. A gram with more than ``hot_rows`` places and more than a
+    sixteenth of a part's share of all places is spread over the parts; that changes the work, not the result.
     """
     spark = rows.sparkSession
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     reach = length - gram
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +286,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
         for batch in batches:
             for _, _, data, ends in _slices(batch, length):
                 h, n = np.unique(finder.find(data, ends)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2))], names=["h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: dict[int, np.ndarray] = {}
@@ -281,69 +298,94 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
         packed = [np.packbits(c).tobytes() for c in chunks.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.int64()), pa.array(packed, pa.binary())], names=["chunk", "bits"])
 
-    counts = rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    counts = land(rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "grams")
     chunk = F.shiftrightunsigned("h", 64 - FILTER_BITS + CHUNK_BITS)
     bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for row in counts.repartition(chunk).mapInArrow(table, "chunk long, bits binary").toLocalIterator():
+    for row in counts.select("h").repartition(chunk).mapInArrow(table, "chunk long, bits binary").toLocalIterator():
         bits[row.chunk << CHUNK_BITS - 3 : (row.chunk + 1) << CHUNK_BITS - 3] |= np.frombuffer(row.bits, np.uint8)
     shared = spark.sparkContext.broadcast(bits.tobytes())
+    # Frequent grams: less than 16 a part, as each has more than a sixteenth of a part's share of the suffixes.
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = counts.where(F.col("n") > max(hot_rows, total // (16 * parts))).select("h").collect()
+    hot = spark.sparkContext.broadcast(np.sort(np.array([r.h for r in frequent], np.int64)).tobytes())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, seen = Anchors(length, gram), np.frombuffer(shared.value, np.uint8)
+        often = np.frombuffer(hot.value, np.int64).view(np.uint64)
         for batch in batches:
             ids, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             for at_rows, offsets, data, ends in _slices(batch, length):
+                begins = np.concatenate(([0], ends[:-1]))
+
+                def entries(place: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray, reach: int):
+                    """Sorted suffixes, each kind once: ``(index, suffix, left, low, high, owner)``, and the spans of the copies."""
+                    doc = np.searchsorted(ends, place, side="right")
+                    begin = begins[doc]
+                    # Only as much of the text on either side as the strings of this suffix reach.
+                    suffix = np.concatenate((h.astype(">u8").view(np.uint8).reshape(-1, HEAD), _gathered(data, place, length, begin, last + length)), axis=1)
+                    left = np.zeros((len(place), length - gram), np.uint8)
+                    if reach:
+                        left = _gathered(data, place - reach, reach, first, ends[doc])[:, ::-1]
+                    owner = np.column_stack((ids[at_rows[doc]], marks[at_rows[doc]], place - begin + offsets[doc]))
+                    low, high = (place - last).astype(np.uint8), (place - first).astype(np.uint8)
+                    # Low and high tell how much of either side is text, so padding is never taken for it.
+                    whole = np.concatenate((suffix, left, low[:, None], high[:, None]), axis=1)
+                    full = np.zeros((len(whole), whole.shape[1] + (-whole.shape[1]) % 8), np.uint8)
+                    full[:, : whole.shape[1]] = whole
+                    order = np.lexsort((owner[:, 2], owner[:, 1], owner[:, 0], *full.view(">u8").T[::-1]))
+                    full, sorted_owner = full[order], owner[order]
+                    same = np.concatenate(([False], (full[1:] == full[:-1]).all(axis=1)))
+                    head = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+                    again = same & (sorted_owner[:, 0] > sorted_owner[head, 0])
+                    fresh = ~same
+                    fresh[1:] |= (sorted_owner[1:, :2] != sorted_owner[:-1, :2]).any(axis=1)
+                    again |= sorted_owner[:, 2] > sorted_owner[np.flatnonzero(fresh)[np.cumsum(fresh) - 1], 2]
+                    gone, order = order[again], order[~again]
+                    o = owner[gone]
+                    known = np.column_stack((o[:, :2], o[:, 2] - high[gone], o[:, 2] - low[gone].astype(np.int64) + length))
+                    return (order, suffix[order], left[order], low[order], high[order], owner[order]), known
+
+                def rows_of(h: np.ndarray, packed: tuple, known: np.ndarray) -> Iterator[tuple]:
+                    """Runs by part; what is known to go already travels with them, so that nothing is done twice."""
+                    if len(known):
+                        yield int(known[0, 1] % parts), None, None, None, None, None, known.astype(np.int64).tobytes()
+                    order, suffix, left, low, high, owner = packed
+                    part = (h[order] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                    edges = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)).tolist()
+                    for a, b in zip(edges[:-1], edges[1:], strict=True):
+                        commons, rests = front_code(suffix[a:b])
+                        yield int(part[a]), commons.tobytes(), packed_bytes(rests), packed_bytes(left[a:b].tobytes()), low[a:b].tobytes(), high[a:b].tobytes(), owner[a:b].tobytes()
+
                 place, h, first, last = finder.find(data, ends)
                 top = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 keep = (seen[top >> 3] >> (7 - (top & 7)).astype(np.uint8) & 1).astype(bool)
                 place, h, first, last = place[keep], h[keep], first[keep], last[keep]
                 if not len(place):
                     continue
-                doc = np.searchsorted(ends, place, side="right")
-                begin = np.concatenate(([0], ends[:-1]))[doc]
-                suffix = np.concatenate((h.astype(">u8").view(np.uint8).reshape(-1, HEAD), _gathered(data, place, length, begin, ends[doc])), axis=1)
-                left = _gathered(data, place - reach, reach, begin, ends[doc])[:, ::-1]
-                owner = np.column_stack((ids[at_rows[doc]], marks[at_rows[doc]], place - begin + offsets[doc]))
-                low, high = (place - last).astype(np.uint8), (place - first).astype(np.uint8)
-                # What is left of a document's start and right of its end must not look like text.
-                near = np.stack((np.minimum(place - begin, reach), np.minimum(ends[doc] - place, length)), axis=1).astype(np.uint8)
-                whole = np.concatenate((suffix, left, near, low[:, None], high[:, None]), axis=1)
-                full = np.zeros((len(whole), whole.shape[1] + (-whole.shape[1]) % 8), np.uint8)
-                full[:, : whole.shape[1]] = whole
-                order = np.lexsort((owner[:, 2], owner[:, 1], owner[:, 0], *full.view(">u8").T[::-1]))
-                full, owner = full[order], owner[order]
-                same = np.concatenate(([False], (full[1:] == full[:-1]).all(axis=1)))
-                head = np.flatnonzero(~same)[np.cumsum(~same) - 1]
-                again = same & (owner[:, 0] > owner[head, 0])
-                fresh = ~same
-                fresh[1:] |= (owner[1:, :2] != owner[:-1, :2]).any(axis=1)
-                again |= owner[:, 2] > owner[np.flatnonzero(fresh)[np.cumsum(fresh) - 1], 2]
-                if again.any():
-                    o = owner[again]
-                    hi, lo = (full[again, whole.shape[1] - k].astype(np.int64) for k in (1, 2))
-                    yield span_batch(o[:, 0], o[:, 1], o[:, 2] - hi, o[:, 2] - lo + length)
-                order, owner = order[~again], owner[~again]
-                suffix, left, low, high = suffix[order], left[order], low[order], high[order]
-                part = (h[order] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                edges = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part))
-                cols = []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                    commons, rests = front_code(suffix[a:b])
-                    cols.append((int(part[a]), commons.tobytes(), rests, left[a:b].tobytes(), low[a:b].tobytes(), high[a:b].tobytes(), owner[a:b].tobytes()))
-                arrays = [pa.array(c, pa.int64() if k == 0 else pa.binary()) for k, c in enumerate(zip(*cols, strict=True))]
-                yield pa.RecordBatch.from_arrays([*arrays, *(pa.nulls(len(cols), pa.int64()) for _ in range(4))], names=names)
-
-    names = [field.split()[0] for field in f"{RUN}, {SPAN}".split(", ")]
-
-    def span_batch(ids: np.ndarray, marks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
-        empty = [pa.nulls(len(ids), pa.int64() if k == 0 else pa.binary()) for k in range(len(names) - 4)]
-        return pa.RecordBatch.from_arrays([*empty, *(pa.array(c) for c in (ids, marks, starts, ends))], names=names)
+                packed, known = entries(place, h, first, last, length - gram)
+                many = np.isin(h[packed[0]], often)
+                cols = list(rows_of(h, tuple(column[~many] for column in packed), known))
+                if many.any():
+                    # Strings at frequent anchors go on one by one, under hashes of their own: those that cross
+                    # the border of a frequent passage then meet in many parts, and those within it once per slice.
+                    at = packed[0][many]
+                    n = last[at] - first[at] + 1
+                    starts = np.repeat(first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    own = finder.string_hashes(starts)
+                    cols += rows_of(own, *entries(starts, own, starts, starts, 0))
+                if cols:
+                    arrays = [pa.array(c, pa.int64() if k == 0 else pa.binary()) for k, c in enumerate(zip(*cols, strict=True))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in RUN.split(", ")])
+
+    def span_batch(*columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "mark", "start", "end"])
 
     def merged(runs: list[tuple]) -> Iterator[pa.RecordBatch]:
         """Spans found in all runs of one part."""
         width = HEAD + length
         commons = [np.frombuffer(r[1], np.uint8) for r in runs]
-        strings = [(front_decode(c, r[2], width), c.tolist()) for c, r in zip(commons, runs, strict=True)]
+        rests = (pa.decompress(r[2], len(c) * width - int(c.sum(dtype=np.int64)), CODEC, asbytes=True) for c, r in zip(commons, runs, strict=True))
+        strings = [(front_decode(c, rest, width), c.tolist()) for c, rest in zip(commons, rests, strict=True)]
         offsets = np.concatenate(([0], np.cumsum([len(c) for c in commons])))
         if offsets[-1] < 2:
             return
@@ -358,33 +400,38 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
         order = order[inner]
         if not len(order):
             return
-        left = np.concatenate([np.frombuffer(r[3], np.uint8) for r in runs]).reshape(-1, reach)[order]
+        lefts = [pa.decompress(r[3], len(c) * reach, CODEC, asbytes=True) for c, r in zip(commons, runs, strict=True)]
+        left = np.frombuffer(b"".join(lefts), np.uint8).reshape(-1, reach)[order]
         low, high = (np.concatenate([np.frombuffer(r[c], np.uint8) for r in runs])[order].astype(np.int64) for c in (4, 5))
         owner = np.concatenate([np.frombuffer(r[6], np.int64) for r in runs]).reshape(-1, 3)[order]
         least, most = repeated_strings(right, left, low, high, owner[:, 0], owner[:, 1], owner[:, 2], length)
         hit = most >= 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (owner[hit, 0], owner[hit, 1], owner[hit, 2] - most[hit], owner[hit, 2] - least[hit] + length)], names=["id", "mark", "start", "end"]
-        )
+        yield span_batch(owner[hit, 0], owner[hit, 1], owner[hit, 2] - most[hit], owner[hit, 2] - least[hit] + length)
 
     def merge_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, runs = None, []
+        pa.default_memory_pool().release_unused()  # what this worker's scans have left
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k in range(batch.num_rows):
+                row = tuple(c[k].as_py() for c in batch.columns)
                 if row[0] != part and runs:
                     yield from merged(runs)
                     runs = []
                 part = row[0]
-                runs.append(row)
+                if row[1] is None:
+                    yield span_batch(*np.frombuffer(row[6], np.int64).reshape(-1, 4).T)
+                else:
+                    runs.append(row)
         if runs:
             yield from merged(runs)
 
-    sent = land(rows.mapInArrow(send, f"{RUN}, {SPAN}"), "suffix-runs")
-    runs = sent.where("part is not null").select(*names[:-4]).repartition("part").sortWithinPartitions("part")
-    return runs.mapInArrow(merge_parts, SPAN).union(sent.where("part is null").select("id", "mark", "start", "end"))
+    runs = rows.mapInArrow(send, RUN).repartition("part").sortWithinPartitions("part")
+    return runs.mapInArrow(merge_parts, SPAN)
 
 
-def dedup_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_strings(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``(id, n_bytes, removed, kept)``, a row per row of ``docs``.
 
     ``removed`` are the maximal byte spans that strings of ``length`` bytes cover which also start earlier: in a
@@ -398,7 +445,7 @@ def dedup_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, parts
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text, F.lit(b"")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("mark"), "text")
     ranked = rows.select(F.coalesce(F.col("id").cast("long"), F.lit(int(NO_ID))).alias("id"), "mark", "text")
-    spans = repeated_spans(ranked, length, gram, parts)
+    spans = repeated_spans(ranked, length, gram, parts, hot_rows)
     grouped = spans.groupBy(F.col("id").alias("of"), F.col("mark").alias("marked")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     same = (F.coalesce(F.col("id").cast("long"), F.lit(int(NO_ID))) == F.col("of")) & (F.col("mark") == F.col("marked"))
     joined = rows.join(grouped, same, "left").select("id", F.col("text").cast("string").alias("text"), "spans")

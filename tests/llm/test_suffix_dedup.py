@@ -42,8 +42,9 @@ def test_edge_rows_against_brute_force(docs, small_docs):
     assert found(docs) == slow([(r[0], (r[1] or "").encode()) for r in small_docs], 100)
 
 
+@pytest.mark.parametrize("hot_rows", [20_000, 3])
 @pytest.mark.parametrize(("length", "gram", "parts"), [(30, 8, 3), (12, 10, 1), (100, 24, 40)])
-def test_mutated_copies(spark, length, gram, parts):
+def test_mutated_copies(spark, length, gram, parts, hot_rows):
     """Copies with edits anywhere, so that strings overlap, nest and cross each other's borders."""
     pick = random.Random(length)
     base = ["".join(pick.choice("ab c") for _ in range(pick.randint(50, 600))) for _ in range(4)]
@@ -55,7 +56,7 @@ def test_mutated_copies(spark, length, gram, parts):
             text[at : at + pick.randrange(3)] = pick.choice(["x", "", "yy", "é"])
         rows.append((pick.randrange(50), "".join(text) + ("ab" * 120 if k % 9 == 0 else "")))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert found(df, length, gram, parts) == slow([(i, t.encode()) for i, t in rows], length)
+    assert found(df, length, gram, parts, "doc_id", "text", hot_rows) == slow([(i, t.encode()) for i, t in rows], length)
 
 
 def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
