@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +25,20 @@ from rillflow.llm.warc import page_archive
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a session, once, so that they need no copy of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_rillflow_sent", None):
+        return
+    package = pathlib.Path(__file__).parents[1]
+    # Spark's file server hands the archive to executors; they never look at this folder.
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='rillflow-')}/rillflow", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._rillflow_sent = archive
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
