@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.graph import components
-from rillflow.llm.spans import row_key
 from rillflow.workspace import land
 
 SEED = 42
@@ -231,18 +230,3 @@ def near_duplicates(
     lowest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     by_node = labelled.join(lowest, "root").select("node", "component_id")
     return prints.join(by_node, "node").select(F.col("id").alias(id_col), *names, "component_id")
-
-
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays.
-
-    Among rows that share this id the one with the smallest digest stays, and of equal rows one. A NULL id is the
-    largest. All columns are kept; ``options`` go to ``near_duplicates``.
-    """
-    identity, mark = row_key(id_col, text_col)
-    place = F.struct(identity.isNull().alias("late"), identity.alias("id"), mark.alias("mark"))
-    rows = docs.select(place.alias("place"), F.col(text_col).alias("text"))
-    found = near_duplicates(rows, id_col="place", text_col="text", **options)
-    first = found.where("place = component_id").select(F.col("place.id").alias("_id"), F.col("place.mark").alias("_mark")).distinct()
-    kept = docs.withColumn("_own_mark", mark).join(first, identity.eqNullSafe(F.col("_id")) & (F.col("_own_mark") == F.col("_mark")), "left_semi")
-    return kept.dropDuplicates([id_col, "_own_mark"]).select(*docs.columns)
