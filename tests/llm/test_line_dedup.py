@@ -58,3 +58,36 @@ def test_no_rows(no_docs):
 def test_no_python_in_the_plan(docs):
     plan = drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def slow_long(rows, least, long_words):
+    """Kept text per row: windows of ``least`` lines, and shorter ones of more than ``long_words`` words."""
+    split = [t.split("\n") for _, t in rows]
+    solid = [[(k, line) for k, line in enumerate(lines) if line.split()] for lines in split]
+    gone = [set() for _ in rows]
+    for size in range(1, least + 1):
+        first, seen = {}, set()
+        windows = [[lines[at : at + size] for at in range(len(lines) - size + 1)] for lines in solid]
+        windows = [[w for w in own if size == least or len(" ".join(x for _, x in w).split()) > long_words] for own in windows]
+        for (i, _), own in zip(rows, windows, strict=True):
+            for w in own:
+                text = tuple(x for _, x in w)
+                first[text] = min(first.get(text, i), i)
+        for r, ((i, _), own) in enumerate(zip(rows, windows, strict=True)):
+            for w in own:
+                text = tuple(x for _, x in w)
+                if i > first[text] or (r, text) in seen:
+                    gone[r].update(k for k, _ in w)
+                seen.add((r, text))
+    return Counter((i, "\n".join(line for k, line in enumerate(lines) if k not in out)) for (i, _), lines, out in zip(rows, split, gone, strict=True))
+
+
+@pytest.mark.parametrize("least", [3, 5])
+def test_short_runs_of_many_words(spark, least):
+    pick = random.Random(least)
+    lines = ["one two", "x", " ", "a b c d e f g h", "r s t u v w x y z q", "k l m n o p"]
+    rows = [(k, "\n".join(pick.choice([*lines, f"own {k} {at}", f"own {k} {at}"]) for at in range(12))) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = slow_long(rows, least, 9)
+    assert Counter((r.doc_id, r.text) for r in drop_repeated_lines(df, least, long_words=9).collect()) == want
+    assert Counter((r.doc_id, r.kept) for r in dedup_lines(df, least, long_words=9).collect()) == want != slow_long(rows, least, 99)
