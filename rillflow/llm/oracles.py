@@ -71,8 +71,34 @@ n AS (SELECT doc_id, count(*) AS c FROM places GROUP BY doc_id)
 SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines, CAST(coalesce(c, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM documents LEFT JOIN left_over USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
+# CRC-32 of the text of an id: its bytes, eight steps of one bit each.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, ignored: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+PERIODIC_RUNS = f"""
+WITH ids AS (SELECT doc_id, {_CRC32} AS h, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS own FROM documents),
+cut AS (SELECT *, len(own) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(own) > 0 THEN (h // 10) % len(own) END AS a FROM ids),
+d AS (
+  SELECT doc_id, CASE WHEN a IS NULL THEN own ELSE list_transform(range(0, n),
+    lambda i: own[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM cut),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS i, len(w) AS n FROM d),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS p FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 2 * (b.i - a.i) <= a.n),
+stretches AS (
+  SELECT doc_id, p, min(i) AS s, count(*) + p AS len
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM pairs) GROUP BY doc_id, p, island),
+runs AS (SELECT doc_id, s, len, min(p) AS p FROM stretches WHERE len >= greatest(12, 2 * p) GROUP BY doc_id, s, len),
+per AS (
+  SELECT doc_id, count(*) AS c, string_agg(s || ',' || len || ',' || p || chr(10), '' ORDER BY s, p) AS lines, arg_min((s, len, p), (-len, s, p)) AS best
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + p, s + len)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(c, 0) AS BIGINT) AS n_runs, CAST(best[1] AS BIGINT) AS start, CAST(best[2] AS BIGINT) AS length, CAST(best[3] AS BIGINT) AS period,
+  CAST(1000 * best[2] // best[3] AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM documents LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 ORACLES: dict[str, str] = {
     "op4_decontamination": DECONTAMINATION,
     "op5_quality_rules": QUALITY_RULES,
     "op6_line_dedup": LINE_DEDUP,
+    "op13_periodic_runs": PERIODIC_RUNS,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rillflow.llm.bpe import encode_decode, token_count
 from rillflow.llm.decontamination import contained_items
 from rillflow.llm.line_dedup import dedup_lines
+from rillflow.llm.periodic_runs import longest_run, periodic_runs
 from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.secrets import review, scan
@@ -111,6 +112,34 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _removal_digest(dedup_units(_table(spark, sf_dir, "documents"), ("line", "sentence"), min_words=8))
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, chosen by the CRC-32 of their id, repeat a stretch of words to their end."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("own"))
+    rows = rows.withColumn("n", F.size("own")).withColumn("g", F.floor(F.col("h") / 10).cast("long")).withColumn("a", F.expr("g % n"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    planted = F.array_join(F.expr("transform(own, (w, i) -> if(i < a, w, element_at(own, cast(1 + a + (i - a) % p as int))))"), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and a digest of the text with one period of each."""
+    found = periodic_runs(planted_periods(_table(spark, sf_dir, "documents"))).withColumn("best", longest_run())
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("best")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_warc": op2_warc,
@@ -122,4 +151,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_unit_dedup": op10_unit_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
