@@ -71,6 +71,31 @@ n AS (SELECT doc_id, count(*) AS c FROM places GROUP BY doc_id)
 SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines, CAST(coalesce(c, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM documents LEFT JOIN left_over USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
+COLLOCATIONS = """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM d),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, greatest(len(w) - m + 2, 1)), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3]) AS m)),
+f AS (SELECT lang, m, phrase, count(*) AS c FROM grams GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND c >= 10),
+cuts AS (
+  SELECT cand.lang, cand.m, cand.phrase, a, k, x.c AS l, y.c AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.c AS HUGEINT) * y.c) AS score
+  FROM cand JOIN (SELECT unnest([1, 2]) AS k) ON k < m
+  JOIN f x ON x.lang = cand.lang AND x.m = k AND x.phrase = array_to_string(w[1 : k], ' ')
+  JOIN f y ON y.lang = cand.lang AND y.m = cand.m - k AND y.phrase = array_to_string(w[k + 1 : cand.m], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS b FROM (SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase FROM cand WHERE m = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(score AS BIGINT) AS score
+  FROM best LEFT JOIN longer USING (lang, phrase) WHERE b IS NULL OR 100 * b < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) WHERE rank <= 2000"""
+
 # CRC-32 of the text of an id: its bytes, eight steps of one bit each.
 _CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
     lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, ignored: xor(v >> 1, 3988292384 * (v & 1)))))"""
@@ -100,5 +125,6 @@ ORACLES: dict[str, str] = {
     "op4_decontamination": DECONTAMINATION,
     "op5_quality_rules": QUALITY_RULES,
     "op6_line_dedup": LINE_DEDUP,
+    "op12_collocations": COLLOCATIONS,
     "op13_periodic_runs": PERIODIC_RUNS,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.bpe import encode_decode, token_count
+from rillflow.llm.collocations import collocations
 from rillflow.llm.decontamination import contained_items
 from rillflow.llm.line_dedup import dedup_lines
 from rillflow.llm.periodic_runs import longest_run, periodic_runs
@@ -112,6 +113,12 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _removal_digest(dedup_units(_table(spark, sf_dir, "documents"), ("line", "sentence"), min_words=8))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    found = collocations(_table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def planted_periods(docs: DataFrame) -> DataFrame:
     """Documents of which a tenth, chosen by the CRC-32 of their id, repeat a stretch of words to their end."""
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), 0)
@@ -151,5 +158,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_unit_dedup": op10_unit_dedup,
+    "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }
