@@ -79,14 +79,16 @@ p AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM d),
 grams AS (
   SELECT lang, m, unnest(list_transform(range(1, greatest(len(w) - m + 2, 1)), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
   FROM p, (SELECT unnest([1, 2, 3]) AS m)),
-f AS (SELECT lang, m, phrase, count(*) AS c FROM grams GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS c FROM grams GROUP BY ALL),
 n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
-cand AS (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND c >= 10),
+cand AS MATERIALIZED (SELECT lang, m, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND c >= 10),
+often AS MATERIALIZED (SELECT lang, phrase, c FROM f WHERE c >= 10),
+halves AS MATERIALIZED (
+  SELECT lang, m, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : m], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
 cuts AS (
-  SELECT cand.lang, cand.m, cand.phrase, a, k, x.c AS l, y.c AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.c AS HUGEINT) * y.c) AS score
-  FROM cand JOIN (SELECT unnest([1, 2]) AS k) ON k < m
-  JOIN f x ON x.lang = cand.lang AND x.m = k AND x.phrase = array_to_string(w[1 : k], ' ')
-  JOIN f y ON y.lang = cand.lang AND y.m = cand.m - k AND y.phrase = array_to_string(w[k + 1 : cand.m], ' ')),
+  SELECT h.lang, h.m, h.phrase, a, k, x.c AS l, y.c AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.c AS HUGEINT) * y.c) AS score
+  FROM halves h JOIN often x ON x.lang = h.lang AND x.phrase = head JOIN often y ON y.lang = h.lang AND y.phrase = tail),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 longer AS (
   SELECT lang, phrase, max(a) AS b FROM (SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase FROM cand WHERE m = 3)
