@@ -7,7 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.bpe import encode_decode, token_count
@@ -15,6 +15,7 @@ from rillflow.llm.collocations import collocations
 from rillflow.llm.decontamination import contained_items
 from rillflow.llm.line_dedup import dedup_lines
 from rillflow.llm.periodic_runs import longest_run, periodic_runs
+from rillflow.llm.pii import KINDS, personal_data
 from rillflow.llm.quality_model import SCORE_AT, quality_scores
 from rillflow.llm.quality_rules import quality_rules
 from rillflow.llm.secrets import review, scan
@@ -113,6 +114,17 @@ def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _removal_digest(dedup_units(_table(spark, sf_dir, "documents"), ("line", "sentence"), min_words=8))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data of every document: counts and digest of the base ones, and all of them."""
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"size(filter(base, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 best collocations of every language."""
     found = collocations(_table(spark, sf_dir, "documents"))
@@ -158,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_unit_dedup": op10_unit_dedup,
+    "op11_pii": op11_pii,
     "op12_collocations": op12_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }
