@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.spans import row_key
-from rillflow.workspace import land
+from rillflow.workspace import land, scratch_path
 
 BLANKS = r"[\x20\x09-\x0D]+"
 CANDIDATE = r"[A-Za-z0-9+/=_.\-]{16,}"
@@ -149,7 +149,10 @@ def train(rows: DataFrame, label_col: str = "label", max_rows: int = 100_000, tr
     if len(counts) < 2:
         return SecretModel(None, float(1.0 in counts))
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
-    return SecretModel(forest.fit(_assembled(sample)))
+    # A fitted model holds its training summary and so the session; one read from its folder goes to tasks whatever the session holds.
+    path = scratch_path(rows.sparkSession, "forest")
+    forest.fit(_assembled(sample)).save(path)
+    return SecretModel(RandomForestClassificationModel.load(path))
 
 
 def scan(docs: DataFrame, labels: DataFrame | Column, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", **options) -> DataFrame:

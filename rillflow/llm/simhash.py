@@ -14,6 +14,7 @@ returns a spanning forest instead of all pairs. Copies share a fingerprint and e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.graph import components
+from rillflow.llm.spans import row_key
 from rillflow.workspace import land
 
 SEED = 42
@@ -73,16 +75,16 @@ def masks(radius: int, parts: int = 1, level: int = 0) -> list[int]:
     """The bit masks of all tables, as unsigned 64-bit integers; another family for each level."""
     width, spread = 64 // parts, radius // parts
     vectors = (1 << spread + 1) - 1
-    out = []
-    for part in range(parts):
-        for v in range(1, vectors + 1):
-            mask = 0
-            for i in range(width):
-                # Coprime steps deal the vectors out evenly, in another order for each level.
-                m = 1 + (i * (1 + 2 * level) + i // vectors * level) % vectors
-                mask |= ((m & v).bit_count() & 1) << part * width + i
-            out.append(mask)
-    return out
+
+    def family(step: int) -> list[int]:
+        # Coprime steps deal the vectors out evenly, in another order for each level.
+        dealt = [1 + (i * step + i // vectors * level) % vectors for i in range(width)]
+        return [sum(((m & v).bit_count() & 1) << i for i, m in enumerate(dealt)) for v in range(1, vectors + 1)]
+
+    # The families whose smallest mask has the most bits come first.
+    steps = [s for s in range(1, vectors + 1) if math.gcd(s, vectors) == 1]
+    best = sorted((family(s) for s in steps), key=lambda own: -min(mask.bit_count() for mask in own))
+    return [mask << part * width for part in range(parts) for mask in best[level % len(best)]]
 
 
 def _signed(value: int) -> int:
@@ -224,9 +226,36 @@ def near_duplicates(
     node = F.col("fp0") if confirm is None else F.xxhash64(*names)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     prints = land(fingerprints(rows, shingle, seeds, "id", "body").withColumn("node", node), "fingerprints")
+    return prints.join(_components_of(prints, names, radii, parts), "node").select(F.col("id").alias(id_col), *names, "component_id")
+
+
+def _components_of(prints: DataFrame, names: list[str], radii: tuple[int, ...], parts: int) -> DataFrame:
+    """``(node, component_id)``: the smallest id of the component of every fingerprint, for rows of ``(id, node, <names>)``."""
     distinct = prints.groupBy("node", *names).agg(F.min("id").alias("first"))
     roots = components(links(distinct.select("node", *names), radii, parts))
     labelled = distinct.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     lowest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_node = labelled.join(lowest, "root").select("node", "component_id")
-    return prints.join(by_node, "node").select(F.col("id").alias(id_col), *names, "component_id")
+    return labelled.join(lowest, "root").select("node", "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component of ``near_duplicates`` the row with the smallest id stays.
+
+    Of several rows with that id the one with the smallest MD5 of its text stays, and of rows equal in both any one. A NULL id is
+    the largest, a NULL text counts as empty, and texts without words are near duplicates of each other. All columns
+    are kept, whatever their names. An empty table gives no rows. Texts are moved at most once, beside the few numbers
+    that tell which rows go.
+    """
+    identity, mark = row_key(id_col, text_col)
+    place = F.struct(identity.isNull().alias("late"), identity.alias("id"), mark.alias("mark"))
+    rows = docs.select(place.alias("place"), F.col(text_col).alias("body"))
+    prints = land(fingerprints(rows, shingle, (SEED,), "place", "body").select(F.col("place").alias("id"), "fp0", F.col("fp0").alias("node")), "fingerprints")
+    own = prints.join(_components_of(prints, ["fp0"], (radius,), 1), "node")
+    # Rows that go, and places of which one of several equal rows stays.
+    counted = own.groupBy("id", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    told = land(counted.where("id <> component_id or n > 1").select("id", (F.col("id") == F.col("component_id")).alias("first")), "copies")
+    whole = docs.select(place.alias("place"), F.struct(*docs.columns).alias("row"))
+    joined = whole.join(told.select(F.col("id").alias("told"), "first"), F.col("place") == F.col("told"), "left")
+    single = joined.where("told is null").select("row.*")
+    repeated = joined.where("first").dropDuplicates(["place"]).select("row.*")
+    return single.union(repeated)

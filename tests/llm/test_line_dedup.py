@@ -7,23 +7,29 @@ import pytest
 from rillflow.llm.line_dedup import dedup_lines, drop_repeated_lines
 
 
-def slow(rows, least):
+def slow(rows, least, long_words=None):
     """Kept text per row, by comparing windows of lines."""
     split = [[] if t is None else t.split("\n") for _, t in rows]
     solid = [[(k, line) for k, line in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", line)] for lines in split]
+
+    def windows(lines):
+        for size in range(1 if long_words is not None else least, least + 1):
+            for at in range(len(lines) - size + 1):
+                window = tuple(x for _, x in lines[at : at + size])
+                if size == least or sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in window) > long_words:
+                    yield window, [k for k, _ in lines[at : at + size]]
+
     first = {}
     for (i, _), lines in zip(rows, solid, strict=True):
         rank = float("inf") if i is None else i
-        for at in range(len(lines) - least + 1):
-            window = tuple(x for _, x in lines[at : at + least])
+        for window, _ in windows(lines):
             first[window] = min(first.get(window, float("inf")), rank)
     out = []
     for (i, text), lines, all_lines in zip(rows, solid, split, strict=True):
         rank, seen, gone = float("inf") if i is None else i, set(), set()
-        for at in range(len(lines) - least + 1):
-            window = tuple(x for _, x in lines[at : at + least])
+        for window, places in windows(lines):
             if window in seen or rank > first[window]:
-                gone.update(k for k, _ in lines[at : at + least])
+                gone.update(places)
             seen.add(window)
         kept = None if text is None else "\n".join(line for k, line in enumerate(all_lines) if k not in gone)
         out.append((i, len(all_lines), tuple(sorted(gone)), kept))
@@ -46,6 +52,15 @@ def test_random_lines(spark, least):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows, least)
 
 
+@pytest.mark.parametrize("least", [2, 3, 4])
+def test_runs_of_many_words(spark, least):
+    pick = random.Random(least)
+    rows = [(k // 2, "\n".join(pick.choice(["a", "b c", "d e f", " ", "g h i j k", "l"]) for _ in range(pick.randrange(25)))) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_lines, tuple(r.removed), r.kept) for r in dedup_lines(df, least, long_words=4).collect())
+    assert got == Counter(slow(rows, least, 4))
+
+
 def test_edge_rows(docs, small_docs):
     for least in (1, 3):
         check(docs, [(r[0], r[1]) for r in small_docs], least)

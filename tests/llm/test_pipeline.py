@@ -24,12 +24,11 @@ def slow_near(rows):
         i, text = rows[k]
         return (i is None, i or 0, hashlib.md5((text or "").encode()).hexdigest())
 
-    prints = [tuple(fingerprint((t or "").encode(), 5, SEED + k) % (1 << 64) for k in (0, 1)) for _, t in rows]
+    prints = [fingerprint((t or "").encode(), 4, SEED) % (1 << 64) for _, t in rows]
     labels = list(range(len(rows)))
     for a in range(len(rows)):
         for b in range(a):
-            near = (prints[a][0] ^ prints[b][0]).bit_count() <= 9 and (prints[a][1] ^ prints[b][1]).bit_count() <= 16
-            if near and labels[a] != labels[b]:
+            if (prints[a] ^ prints[b]).bit_count() <= 4 and labels[a] != labels[b]:
                 old, new = labels[a], labels[b]
                 labels = [new if x == old else x for x in labels]
     best = {}
@@ -41,7 +40,7 @@ def slow_near(rows):
 
 def slow_pipeline(rows, items):
     rows = [r for r in rows if slow_quality(r[1])[-1]]
-    rows = [(i, kept) for i, _, _, kept in slow_lines(rows, 3) if kept is not None and re.search(r"[^\x20\x09-\x0D]", kept)]
+    rows = [(i, kept) for i, _, _, kept in slow_lines(rows, 3, 50) if kept is not None and re.search(r"[^\x20\x09-\x0D]", kept)]
     rows = slow_near(rows)
     dirty = slow_items(rows, items)[1]
     return [r for r in rows if r not in dirty]
@@ -75,7 +74,7 @@ def test_stages_on_edge_rows(spark, plain, small_docs, sf_dir):
     for df in (quality, lines, near, clean):
         assert df.columns == COLUMNS
     assert Counter((r.doc_id, r.text) for r in quality.collect()) == Counter(r for r in rows if slow_quality(r[1])[-1])
-    left = [(i, kept) for i, _, _, kept in slow_lines(rows, 3) if kept is not None and re.search(r"[^\x20\x09-\x0D]", kept)]
+    left = [(i, kept) for i, _, _, kept in slow_lines(rows, 3, 50) if kept is not None and re.search(r"[^\x20\x09-\x0D]", kept)]
     assert Counter((r.doc_id, r.text, r.n_chars) for r in lines.collect()) == Counter((i, t, len(t)) for i, t in left)
     # NULL and empty texts have one digest, so which of them stays among equal ids is open.
     assert Counter((r.doc_id, r.text or "") for r in near.collect()) == Counter((i, t or "") for i, t in slow_near(rows))

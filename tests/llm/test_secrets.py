@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rillflow.llm.queries import op7_secret_scan
@@ -78,6 +79,15 @@ def test_labelled_findings_as_a_table(spark, spoken):
     assert {r.score for r in scan(df, labels.limit(0)).collect()} == {0.0}
 
 
+def test_scan_after_an_observation(spark, spoken):
+    """An observation leaves a manager in the session that cannot be sent to tasks."""
+    df, _, _ = spoken
+    seen = Observation("seen")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == df.count()
+    assert scan(df, review()).count() > 0
+
+
 def test_no_rows(no_docs):
     assert scan(no_docs, review()).collect() == []
 

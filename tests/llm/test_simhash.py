@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 from collections import Counter
@@ -8,7 +9,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from rillflow.llm.graph import components
-from rillflow.llm.simhash import links, masks, near_duplicates
+from rillflow.llm.queries import op1_simhash_near_dedup
+from rillflow.llm.simhash import keep_one, links, masks, near_duplicates
 
 
 def slow_fingerprint(text, shingle=4):
@@ -80,3 +82,31 @@ def test_components_of_chains_and_stars(spark):
 def test_large_radius_with_confirmation(docs, small_docs):
     found = {(r.doc_id, r.fp0): r.component_id for r in near_duplicates(docs, radius=9, shingle=5, parts=2, confirm=16).collect()}
     assert len(set(found.values())) > 25
+
+
+def test_one_row_of_each_component_stays(docs, small_docs):
+    rows = [(r[0], r[1]) for r in small_docs]
+    labels = slow_components([(k, slow_fingerprint(t)) for k, (_, t) in enumerate(rows)], 4)
+    best = {}
+    for (i, text), label in zip(rows, labels, strict=True):
+        rank = (i is None, i or 0, hashlib.md5((text or "").encode()).hexdigest())
+        best[label] = min(best.get(label, rank), rank)
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id is None, r.doc_id or 0, hashlib.md5((r.text or "").encode()).hexdigest()) for r in kept.collect())
+    assert got == Counter(best.values())
+
+
+def test_clashing_names(spark):
+    rows = [(1, "a b c d e f", 1, 1, 1, 1), (2, "a b c d e f", 2, 2, 2, 2), (3, "one two three four", 3, 3, 3, 3)]
+    clashing = spark.createDataFrame(rows, "doc_id long, text string, place int, told int, first int, row int")
+    assert sorted(map(tuple, keep_one(clashing).collect())) == [rows[0], rows[2]]
+    assert sorted(r.component_id for r in near_duplicates(clashing).collect()) == [1, 1, 3]
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    prints = {i: slow_fingerprint(t) for i, t in docs.items()}
+    components_of = dict(zip(docs, slow_components(list(prints.items()), 4), strict=True))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in op1_simhash_near_dedup(spark, sf_dir).collect()}
+    assert got == {i: (f"{prints[i]:016x}", components_of[i]) for i in docs}
