@@ -16,14 +16,14 @@ from rillflow.llm.decontamination import decontaminate
 from rillflow.llm.line_dedup import SOLID, drop_repeated_lines
 from rillflow.llm.quality_rules import keep_good
 from rillflow.llm.queries import ship_package
-from rillflow.llm.shingle_dedup import keep_one_of_each
+from rillflow.llm.simhash import keep_one
 from rillflow.workspace import land
 
 MIN_LINES = 3
 # Shorter runs of lines are repeated passages too if they have more words than this.
 LONG_WORDS = 50
-# Near duplicates: shingles of five words, of which 80 % of all that two texts have are shared.
-NEAR = {"size": 5, "percent": 80}
+# Near duplicates: fingerprints over shingles of four words that differ in four bits or fewer.
+NEAR = {"radius": 4, "shingle": 4}
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -40,7 +40,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return keep_one_of_each(docs, **NEAR)
+    return keep_one(docs, **NEAR)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
