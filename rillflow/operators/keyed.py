@@ -4,7 +4,8 @@
 cannot combine: its result holds every value. A group is therefore kept as *pages* of about
 ``page_size`` values or ``page_bytes`` bytes, whichever are fewer, one row each. A group that fits in one
 page is one row, page 0; a larger one has pages 0, 1, 2, ... which together hold all its values. No task ever
-holds more than its pages.
+holds more than its pages. Which values share a page depends on how the input is dealt out to tasks. The input is read
+once to measure the groups, and once to group them.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ PAGE_SIZE = 10_000
 PAGE_BYTES = 64 * 1024 * 1024
 # Hot keys are broadcast up to this many bytes, and joined by shuffle beyond.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Copies of one value handled by one row before they are spread over tasks.
-COPY_BLOCK = 100
 
 
 def count_per_element(df: DataFrame, *elements: str, alias: str = "n") -> DataFrame:
@@ -64,17 +63,8 @@ def co_group(inputs: Mapping[str, tuple[DataFrame, str, str]], page_size: int =
     ]
     rows = flatten(*tagged)
     hot = _hot_keys(rows, lists, page_size, page_bytes)
-    page = F.lit(0).cast("bigint").alias("page")
-    if hot is None:
-        paged = rows.select("*", page)
-    else:
-        pages = F.element_at("pages_by_tag", F.col("tag") + 1)
-        routed = rows.join(hot, rows["key"].eqNullSafe(hot["hot_key"]), "left").select(*rows.columns, F.coalesce(pages, F.lit(1)).alias("pages"))
-        ordinary = routed.where("pages = 1").drop("pages").select("*", page)
-        paged = ordinary.unionByName(_spread(routed.where("pages > 1"), lists), allowMissingColumns=True)
-    grouped = paged.groupBy("key", "page").agg(
-        *[_page_values(i, column, hot is not None).alias(name) for i, (column, name) in enumerate(zip(lists, names))]
-    )
+    paged = rows.select("*", F.lit(0).cast("bigint").alias("page")) if hot is None else _paged(rows, hot, lists)
+    grouped = paged.groupBy("key", "page").agg(*[_page_values(i, column).alias(name) for i, (column, name) in enumerate(zip(lists, names))])
     own = [F.size(name).cast("bigint") for name in names]
     if hot is not None:
         grouped = grouped.join(hot, grouped["key"].eqNullSafe(hot["hot_key"]), "left")
@@ -119,38 +109,20 @@ def _hot_keys(rows: DataFrame, lists: list[str], page_size: int, page_bytes: int
     return F.broadcast(hot) if size <= BROADCAST_BYTES else hot
 
 
-def _spread(rows: DataFrame, lists: list[str]) -> DataFrame:
-    """Give the rows of hot groups their pages.
+def _paged(rows: DataFrame, hot: DataFrame, lists: list[str]) -> DataFrame:
+    """All rows with their page: 0 for ordinary groups, and for hot ones dealt out by every task in turn.
 
-    Equal rows are first counted (combining before the shuffle). Copy ``j`` of a value belongs to
-    page ``(hash(value) + j) mod pages``, so different values and the copies of one value both
-    fill the pages evenly, and the pages do not depend on how the rows were partitioned.
+    A task sorts its rows of hot groups first, so that a task that runs again deals them out in the same way
+    whatever order they come in, and begins each group at a page of its own. Values and copies fill the pages alike.
     """
-    counted = rows.groupBy("key", "tag", "pages", *lists).agg(F.count(F.lit(1)).alias("total"))
-    text = F.coalesce(*[_as_text(counted, name) for name in lists], F.lit(""))
-    start = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    used = F.least("total", "pages")
-    counted = counted.withColumn("start", start).withColumn("used", used)
-    # A value with many copies is a few large rows: blocks of copies are dealt out to all tasks.
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(used - 1) div {COPY_BLOCK}"))))
-    blocks = blocks.repartition(tasks, "key", "tag", "start", "block")
-    first = F.col("block") * COPY_BLOCK
-    last = F.least(first + COPY_BLOCK, F.col("used")) - 1
-    copies = F.expr("total div pages") + F.when(F.col("copy") < F.col("total") % F.col("pages"), 1).otherwise(0)
-    entries = [
-        F.when(F.col("tag") == i, F.struct(F.col(name).alias("value"), F.col("copies"))).alias(_entries(name))
-        for i, name in enumerate(lists)
-    ]
-    return (
-        blocks.withColumn("copy", F.explode(F.sequence(first, last)))
-        .withColumn("copies", copies.cast("int"))
-        .select("key", F.pmod(F.col("start") + F.col("copy"), F.col("pages")).alias("page"), *entries)
-    )
-
-
-def _entries(column: str) -> str:
-    return f"{column}_entries"
+    pages = F.coalesce(F.element_at("pages_by_tag", F.col("tag") + 1), F.lit(1))
+    routed = rows.join(hot, rows["key"].eqNullSafe(hot["hot_key"]), "left").select(*rows.columns, pages.alias("pages"))
+    is_hot = F.col("pages") > 1
+    # Ordinary rows are all alike to the sort.
+    ordered = routed.sortWithinPartitions(*[F.when(is_hot, F.col(c)) for c in ("key", "tag", *lists)])
+    first = F.pmod(F.xxhash64(F.spark_partition_id(), "key", "tag"), "pages")
+    turn = F.pmod(first + F.monotonically_increasing_id() % F.col("pages"), "pages")
+    return ordered.withColumn("page", F.when(is_hot, turn).otherwise(F.lit(0))).select(*rows.columns, "page")
 
 
 def _as_text(df: DataFrame, column: str) -> Column:
@@ -158,18 +130,12 @@ def _as_text(df: DataFrame, column: str) -> Column:
     return F.to_json(column) if nested else F.col(column).cast("string")
 
 
-def _page_values(tag: int, column: str, has_hot: bool) -> Column:
+def _page_values(tag: int, column: str) -> Column:
     """The values of one input in a page, sorted, NULLs first.
 
-    Rows of other inputs are NULL in ``column`` and drop out of the list; own NULLs are counted. The
-    page of a hot group is made of counted entries instead, an ordinary one has none.
+    Rows of other inputs are NULL in ``column`` and drop out of the list; own NULLs are counted.
     """
     value = F.col(column)
     nulls = F.count_if((F.col("tag") == tag) & value.isNull()).cast("int")
     collected = F.sort_array(F.collect_list(value))
-    values = F.when(nulls == 0, collected).otherwise(F.concat(F.array_repeat(F.get(collected, F.size(collected)), nulls), collected))
-    if not has_hot:
-        return values
-    entries = F.sort_array(F.collect_list(_entries(column)))
-    expanded = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["value"], e["copies"])))
-    return F.when(F.size(entries) == 0, values).otherwise(expanded)
+    return F.when(nulls == 0, collected).otherwise(F.concat(F.array_repeat(F.get(collected, F.size(collected)), nulls), collected))

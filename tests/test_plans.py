@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from rillflow.operators import count_per_element, group_by_key, where_location, where_prefix
+from rillflow.operators import co_group, count_per_element, group_by_key, where_location, where_prefix
 from rillflow.plans import checks
 
 
@@ -35,12 +35,24 @@ def test_routes_reach_the_scan(spark, sf_dir):
 
 
 def test_scans_of_grouped_input(spark, sf_dir):
-    """Without hot keys one scan. With them two, one for ordinary and one for paged rows, both pruned."""
+    """One pruned scan after the count pass, with and without hot keys, for any number of inputs."""
     part = checks.table(spark, sf_dir, "part")
     assert plan(group_by_key(part, "p_brand", "p_name")).count("FileScan") == 1
     paged = plan(group_by_key(part, "p_brand", "p_name", page_size=3))
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", paged)
-    assert sum("p_brand" in s for s in scans) == 2
+    assert sum("p_brand" in s for s in scans) == 1 and all("p_type" not in s for s in scans)
+    # The local sort makes the pages of a task the same if it runs again.
+    assert re.search(r"Sort \[.*\], false", paged)
+    customers, suppliers = checks.table(spark, sf_dir, "customer"), checks.table(spark, sf_dir, "supplier")
+    both = plan(co_group({"a": (customers, "c_nationkey", "c_name"), "b": (suppliers, "s_nationkey", "s_name")}, 3))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", both)
+    assert sum("c_nationkey" in s for s in scans) == 1 and sum("s_nationkey" in s for s in scans) == 1
+
+
+def test_hot_groups_are_shuffled_once(spark, sf_dir):
+    paged = group_by_key(checks.table(spark, sf_dir, "part"), "p_brand", "p_name", page_size=3)
+    # The other two are the broadcasts of the measured list of hot groups.
+    assert exchanges(paged) == 1
 
 
 def test_count_combines_before_its_only_shuffle(spark, sf_dir):
