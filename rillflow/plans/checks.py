@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -498,27 +499,50 @@ def agg_group_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.group_lines(rows, "o_custkey", "o_orderkey")
 
 
+def _digest_number(value: Column) -> Column:
+    """60 bits of the MD5 of a text as a number."""
+    return F.conv(F.substring(F.md5(value.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def _digests(name: str, own: Column, number: Column) -> list[Column]:
+    """Count, and a digest that does not depend on order, of the rows that are ``own``; all of it combines before a shuffle."""
+    mine = F.when(own, number)
+    total = F.coalesce(F.sum(mine.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").cast("string")
+    ends = [F.coalesce(end(mine), F.lit(0).cast("bigint")).alias(f"{end.__name__}_{name}") for end in (F.min, F.max)]
+    return [F.count_if(own).alias(f"n_{name}"), *ends, total.alias(f"sum_{name}")]
+
+
+def _grouped_digests(grouped: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per key of paged groups: digests of the values on all pages, and whether every page gives their numbers.
+
+    No group is put together again: the values of a page are rows of their own, which combine by key.
+    """
+    values = [F.expr(f"transform({name}, v -> struct({i} as tag, cast(v as string) as text))") for i, name in enumerate(names)]
+    listed = grouped.select(F.col("key").alias("k"), "page", "sizes", F.explode_outer(F.concat(*values)).alias("v"))
+    number = _digest_number(F.col("v.text"))
+    each = [column for i, name in enumerate(names) for column in _digests(name, F.col("v.tag") == i, number)]
+    sizes = [F.max(f"sizes.{name}").alias(f"size_{name}") for name in names] + [F.min(f"sizes.{name}").alias(f"least_{name}") for name in names]
+    told = [(F.col(f"size_{n}") == F.col(f"n_{n}")) & (F.col(f"least_{n}") == F.col(f"n_{n}")) for n in names]
+    summed = listed.groupBy("k").agg(*each, *sizes)
+    return summed.withColumn("same_sizes", reduce(Column.__and__, told)).drop(*(f"{kind}_{n}" for n in names for kind in ("size", "least")))
+
+
 def agg_group_by_key_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part names per brand: few keys and few values, so that every group has several pages."""
+    """Part names per brand: few keys and few values, so that every group has several pages, and a digest of its names."""
     lines = jobs.group_lines(table(spark, sf_dir, "part"), "p_brand", "p_name", SMALL_PAGE)
     parts = [F.regexp_extract("line", r"^(.*?) : \[(.*)\](?: page=\d+)?$", i).alias(c) for i, c in ((1, "k"), (2, "text"))]
-    pages = lines.select(*parts).withColumn("listed", F.split("text", ", "))
-    every = F.array_sort(F.flatten(F.collect_list("listed")))
-    n = F.sum(F.size("listed"))
-    few = (F.count(F.lit(1)) <= F.ceil(n / SMALL_PAGE)).alias("few_pages")
-    return pages.groupBy("k").agg(n.alias("n"), few, F.array_join(every, ", ").alias("listed"))
+    names = lines.select(*parts).select("k", F.posexplode(F.split("text", ", ")).alias("at", "name"))
+    digests = _digests("names", F.lit(True), _digest_number(F.col("name")))
+    few = (F.count_if(F.col("at") == 0) <= F.ceil(F.count(F.lit(1)) / SMALL_PAGE)).alias("few_pages")
+    return names.groupBy("k").agg(*digests, few)
 
 
 def join_cogroup_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, suppliers and no orders per nation, on several pages: sizes and unions of the lists."""
+    """Customers and suppliers per nation, and all orders under one key of their own, on several pages."""
     customers, suppliers, orders = (table(spark, sf_dir, name) for name in ("customer", "supplier", "orders"))
-    keyless = orders.select(F.lit(-1).alias("o_nation"), "o_orderpriority").where("o_orderkey < 0")
-    inputs = {"customers": (customers, "c_nationkey", "c_name"), "suppliers": (suppliers, "s_nationkey", "s_name"), "orders": (keyless, "o_nation", "o_orderpriority")}
-    grouped = co_group(inputs, SMALL_PAGE)
-    sizes = [F.max(F.col("sizes")[name]).alias(f"n_{name}") for name in inputs]
-    same = [(F.countDistinct("sizes") == 1).alias("same_sizes")]
-    lists = [F.array_join(F.array_sort(F.flatten(F.collect_list(name))), ", ").alias(f"all_{name}") for name in ("customers", "suppliers")]
-    return grouped.groupBy(F.col("key").alias("k")).agg(*sizes, *same, *lists)
+    one_key = orders.select(F.lit(-1).alias("o_nation"), "o_orderpriority")
+    inputs = {"customers": (customers, "c_nationkey", "c_name"), "suppliers": (suppliers, "s_nationkey", "s_name"), "orders": (one_key, "o_nation", "o_orderpriority")}
+    return _grouped_digests(co_group(inputs, SMALL_PAGE), list(inputs))
 
 
 def join_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -530,7 +554,7 @@ def join_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_cogroup3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, orders and events per customer key, as sizes and digests of the lists."""
+    """Customers, orders and events per customer key, as digests of the lists."""
     customers, orders, events = (table(spark, sf_dir, name) for name in ("customer", "orders", "events"))
     grouped = co_group(
         {
@@ -539,11 +563,7 @@ def join_cogroup3(spark: SparkSession, sf_dir: str) -> DataFrame:
             "events": (events, "user_id", "event_type"),
         }
     )
-    names = ("customers", "orders", "events")
-    sizes = [F.sum(F.size(name)).alias(f"n_{name}") for name in names]
-    texts = {name: F.array_sort(F.flatten(F.collect_list(F.transform(name, lambda v: v.cast("string"))))) for name in names}
-    digests = [F.md5(F.array_join(every, ",")).alias(f"md5_{name}") for name, every in texts.items()]
-    return grouped.groupBy(F.col("key").alias("k")).agg(*sizes, *digests)
+    return _grouped_digests(grouped, ("customers", "orders", "events"))
 
 
 # Union and caps

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from rillflow.operators.keyed import PAGE_SIZE
-
 LOCATION = """case o_orderpriority when '1-URGENT' then 'IN' when '2-HIGH' then 'US' when '3-MEDIUM' then '-1'
     when '4-NOT SPECIFIED' then 'I' else case when o_orderstatus = 'F' then 'X' else 'NA' end end"""
 
@@ -29,18 +27,23 @@ GOOD = "event_type <> 'purchase'"
 SAMPLE = "select count(*) as n, count(distinct event_id) as n_distinct, count(*) as n_known from {} e"
 
 
-def paged(source: str, page_size: int) -> str:
-    """``(k, t, v, page)`` of ``source(k, t, v)``: the page rule of ``rillflow.operators.keyed``."""
-    return f"""select k, t, v, case when size > {page_size}
-        then (cast('0x' || substr(md5(v), 1, 8) as bigint) + copy) % cast(ceil(size / {page_size}) as bigint)
-        else 0 end as page
-    from (select k, t, v, count(*) over (partition by k, t) as size,
-                 row_number() over (partition by k, t, v) - 1 as copy from ({source}) s) c"""
+def group_lines(source: str) -> str:
+    return f"select k || ' : [' || string_agg(v, ', ' order by v) || ']' as line from ({source}) s group by k"
+
+
+
+def digests(name: str, own: str, value: str) -> str:
+    """Count and order-free digest of the values of the rows that are ``own``."""
+    number = f"cast('0x' || md5({value})[1:15] as bigint)"
+    mine = f"filter (where {own})"
+    return f"""count(*) {mine} as n_{name}, coalesce(min({number}) {mine}, 0) as min_{name}, coalesce(max({number}) {mine}, 0) as max_{name},
+        cast(coalesce(sum({number}) {mine}, 0) as varchar) as sum_{name}"""
 
 
-def group_lines(source: str, page_size: int) -> str:
-    return f"""select k || ' : [' || string_agg(v, ', ' order by v) || ']' as line
-    from ({paged(source, page_size)}) p group by k, page"""
+def grouped_digests(rows: str, names: tuple[str, ...]) -> str:
+    """Digests per key ``k`` of rows ``(k, t, v)``, of which ``t`` numbers the input."""
+    each = ", ".join(digests(name, f"t = {t}", "v") for t, name in enumerate(names))
+    return f"select k, {each}, true as same_sizes from ({rows}) u group by k"
 
 
 ORACLES: dict[str, str] = {
@@ -61,9 +64,9 @@ ORACLES: dict[str, str] = {
         select unnest(string_split(replace(text, chr(10), ' '), ' ')) as word from conversations) w where word <> '' group by word""",
     "job_main_route": "select p_name as value, count(*) as n from part where starts_with(p_name, 's') group by 1",
     "job_union": "select c_name as value from customer union all select s_name from supplier",
-    "join_cogroup_paged": f"""select k, count(*) filter (where t = 0) as n_customers, count(*) filter (where t = 1) as n_suppliers,
-        cast(0 as bigint) as n_orders, true as same_sizes, coalesce(string_agg(v, ', ' order by v) filter (where t = 0), '') as all_customers,
-        coalesce(string_agg(v, ', ' order by v) filter (where t = 1), '') as all_suppliers from ({NATION_NAMES}) s group by k""",
+    "join_cogroup_paged": grouped_digests(
+        f"{NATION_NAMES} union all select -1, 2, o_orderpriority from orders", ("customers", "suppliers", "orders")
+    ),
     "snk_text_roundtrip": "select p_partkey || ',' || p_name as value from part",
     "snk_text_copy": TEXT_LINES.format("conversations"),
     "snk_keyed_bytes": "select 'pkey' as key, cast(event_id as varchar) as payload from events",
@@ -102,18 +105,16 @@ ORACLES: dict[str, str] = {
         where country <> 'NA' and starts_with(country, '-') and length(country) = 2 group by country""",
     "agg_count_json": LOCATION_JSON,
     "agg_count_json_quoted": "select '{\"' || p_brand || '\": \"' || count(*) || '\"}' as json from part group by p_brand",
-    "agg_group_by_key": group_lines("select o_custkey as k, 0 as t, cast(o_orderkey as varchar) as v from orders", PAGE_SIZE),
-    "agg_group_by_key_paged": "select p_brand as k, count(*) as n, true as few_pages, string_agg(p_name, ', ' order by p_name) as listed from part group by 1",
+    "agg_group_by_key": group_lines("select o_custkey as k, 0 as t, cast(o_orderkey as varchar) as v from orders"),
+    "agg_group_by_key_paged": f"select p_brand as k, {digests('names', 'true', 'p_name')}, true as few_pages from part group by 1",
     "join_cogroup": f"""select k || ';[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 0), '')
         || '];[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 1), '') || '];' as line
-        from ({paged(NATION_NAMES, PAGE_SIZE)}) p
-        group by k, page""",
-    "join_cogroup3": """select k, count(*) filter (where t = 0) as n_customers, count(*) filter (where t = 1) as n_orders,
-        count(*) filter (where t = 2) as n_events, md5(coalesce(string_agg(v, ',' order by v) filter (where t = 0), '')) as md5_customers,
-        md5(coalesce(string_agg(v, ',' order by v) filter (where t = 1), '')) as md5_orders,
-        md5(coalesce(string_agg(v, ',' order by v) filter (where t = 2), '')) as md5_events
-        from (select c_custkey as k, 0 as t, c_name as v from customer union all select o_custkey, 1, cast(o_orderkey as varchar) from orders
-              union all select user_id, 2, event_type from events) u group by k""",
+        from ({NATION_NAMES}) s group by k""",
+    "join_cogroup3": grouped_digests(
+        """select c_custkey as k, 0 as t, c_name as v from customer union all select o_custkey, 1, cast(o_orderkey as varchar) from orders
+              union all select user_id, 2, event_type from events""",
+        ("customers", "orders", "events"),
+    ),
     "set_flatten": "select c_nationkey as k from customer union all select s_nationkey from supplier",
     "lim_sample_any": SAMPLE.format("(select * from events limit 10)"),
 }
