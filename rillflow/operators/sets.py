@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.workspace import land
@@ -35,17 +35,39 @@ def cap_rows(df: DataFrame, n: int) -> DataFrame:
     """Exactly ``n`` rows, or all if there are fewer, without moving them to one task.
 
     Each task writes its first ``n`` rows below the scratch root; the counts per task, a row each, then say how
-    many of them count. The result is stable. Batch input only: a stream is capped per micro-batch by the limits
-    of its source.
+    many of them count. The result is stable. Batch input only: ``read_bounded`` caps streams in the same way.
     """
     if df.isStreaming:
-        raise ValueError("cap a stream by the limits of its source, or land it first")
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    own = F.col("_row").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
-    kept = land(numbered.where(own < n), "capped")
-    part = F.shiftright("_row", _PARTITION_SHIFT)
+        raise ValueError("cap a stream with read_bounded, or by the limits of its source")
+    row = row_name(df)
+    return within_quotas(land(first_of_each_task(df, n, row), "capped"), n, row).select(*df.columns)
+
+
+def row_name(df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    name = "_row"
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def first_of_each_task(df: DataFrame, n: int, row: str) -> DataFrame:
+    """The first ``n`` rows of every task with their number in the column ``row``. Land them before use: it may differ each time."""
+    return df.withColumn(row, F.monotonically_increasing_id()).where(_place(row) < n)
+
+
+def within_quotas(kept: DataFrame, n: int, row: str) -> DataFrame:
+    """``n`` of the landed rows of ``first_of_each_task``, or all if there are fewer: whole tasks, then a part of one."""
+    part = F.shiftright(row, _PARTITION_SHIFT)
     counts = kept.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     # One row per task that has any.
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    quotas = counts.select("_part", (F.lit(n) - F.coalesce(before, F.lit(0))).alias("_quota"))
-    return kept.join(F.broadcast(quotas), part == F.col("_part")).where(own < F.col("_quota")).select(*df.columns)
+    quotas = counts.select(F.col("_part").alias("_task"), (F.lit(n) - F.coalesce(before, F.lit(0))).alias("_quota"))
+    own = F.struct(*kept.columns).alias("_own")
+    joined = kept.select(own, part.alias("_part"), _place(row).alias("_place")).join(F.broadcast(quotas), F.col("_part") == F.col("_task"))
+    return joined.where("_place < _quota").select("_own.*")
+
+
+def _place(row: str) -> Column:
+    """The number of a row within its task."""
+    return F.col(row).bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))

@@ -234,8 +234,9 @@ def stream_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A capped read: how many rows, how many different ones, and how many of them are in the source."""
-    return _sample_report(spark, sf_dir, read_bounded(table_stream(spark, sf_dir, "events"), max_records=100))
+    """A read capped at half of the source: how many rows, how many different ones, and how many of them are in it."""
+    half = table(spark, sf_dir, "events").count() // 2
+    return _sample_report(spark, sf_dir, read_bounded(table_stream(spark, sf_dir, "events"), max_records=half))
 
 
 def _sample_report(spark: SparkSession, sf_dir: str, sample: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ ORACLES: dict[str, str] = {
     "src_dated_paths": "select strftime(ts, '%Y%m%d') as day, count(*) as n from events group by 1",
     "stream_log_source": "select event_id, event_type from events",
     "stream_bounded_read": "select event_id from events where ts >= timestamp '2024-01-10' order by ts, event_id limit 10",
-    "queue_bounded_read": SAMPLE.format("(select * from events limit 100)"),
+    "queue_bounded_read": SAMPLE.format("(select * from events limit (select count(*) // 2 from events))"),
     "lim_cap_rows": SAMPLE.format("(select * from events limit (select count(*) // 2 from events))"),
     "job_dated_location_counts": LOCATION_JSON,
     "job_receive_bytes": "select 'pkey' as key, cast(event_id as varchar) as payload from events",

@@ -9,6 +9,7 @@ from rillflow import workspace
 from rillflow.sinks import file_batch_writer, write_log, write_table_batches
 from rillflow.sources import read_file_log
 from rillflow.streaming import fan_out, read_bounded, run_to_end
+from rillflow.streaming.bounded import CappedLanding
 from rillflow.workspace import scratch, scratch_path, scratch_root
 
 
@@ -60,6 +61,30 @@ def test_bounded_read_caps_rows_over_batches(arrivals):
     assert len(landed) == len(set(landed)) == 25
 
 
+@pytest.mark.parametrize("n", [0, 1, 999, 1000, 1001, 2500, 5000])
+def test_cap_is_met_by_all_tasks_of_a_batch(spark, tmp_path, n):
+    """Rows of several files and tasks; the cap falls between batches, into one, or beyond all."""
+    folder, target = str(tmp_path / "many"), str(tmp_path / "landing")
+    spark.range(0, 3000, 1, 6).withColumn("_row", F.col("id") * 2).write.parquet(folder)
+    rows = read_file_log(spark, folder, "id bigint, _row bigint", files_per_batch=2)
+    landed = read_bounded(rows, max_records=n, target=target)
+    got = landed.collect()
+    assert landed.columns == ["id", "_row"] and len({r.id for r in got}) == len(got) == min(n, 3000)
+    assert all(r["_row"] == 2 * r.id for r in got)
+
+
+def test_capped_batch_is_written_by_several_tasks(spark, tmp_path):
+    """The cap of a micro-batch doesn't bring its rows together: every task writes its own file."""
+    landing = CappedLanding(str(tmp_path / "landing"), 3500)
+    landing.write(spark.range(0, 3000, 1, 6).toDF("id"), 0)
+    assert len(list((tmp_path / "landing" / "batch=0").glob("*.parquet"))) == 6 and landing.left == 500
+    landing.write(spark.range(3000, 6000, 1, 6).toDF("id"), 1)
+    landing.write(spark.range(6000, 9000, 1, 6).toDF("id"), 2)
+    assert landing.left == 0 and landing.read(spark, spark.range(1).schema).count() == 3500
+    # What was landed beyond the cap is gone.
+    assert sorted(p.name for p in (tmp_path / "landing").iterdir()) == ["batch=0", "last"]
+
+
 def test_following_stops_at_the_cap(arrivals):
     add, stream = arrivals
     add(0, 100)
