@@ -1,0 +1,97 @@
+import threading
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillflow.sinks import BatchTable, write_table_batches
+from rillflow.sinks.batch_table import Folder, Manifest, merged_batches
+from rillflow.sources import read_file_log
+from rillflow.streaming import run_to_end
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return BatchTable(spark, str(tmp_path / "table"))
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def add(table, query, batch, first, last):
+    table.add(table.spark.range(first, last), query, batch)
+
+
+def test_ranges_of_batches():
+    folders = [Folder("a", 1, {"q": [[0, 0]], "r": [[4, 4]]}), Folder("b", 1, {"q": [[2, 3]]}), Folder("c", 1, {"q": [[1, 1]], "r": [[9, 9]]})]
+    assert merged_batches(folders) == {"q": [[0, 3]], "r": [[4, 4], [9, 9]]}
+    manifest = Manifest(7, folders, "s")
+    assert Manifest.parse(7, manifest.text()) == manifest
+    assert manifest.holds("q", 3) and manifest.holds("r", 9) and not manifest.holds("r", 5) and not manifest.holds("s", 0)
+
+
+def test_batches_are_there_once(table):
+    with pytest.raises(ValueError, match="no batch"):
+        table.read()
+    add(table, "q", 0, 0, 10)
+    add(table, "q", 0, 0, 10)
+    add(table, "r", 0, 10, 15)
+    add(table, "q", 1, 15, 15)
+    assert ids(table.read()) == list(range(15)) and table.manifest().number == 3
+
+
+def test_compaction_keeps_rows_and_replays(table):
+    for k in range(6):
+        add(table, "q", k, 10 * k, 10 * k + 10)
+    add(table, "q", 6, 100, 1100)
+    old = table.read()
+    assert table.compact(small_rows=50) == 6
+    manifest = table.manifest()
+    assert [f.rows for f in manifest.folders] == [60, 1000] and manifest.folders[0].batches == {"q": [[0, 5]]}
+    assert ids(table.read()) == ids(old) == [*range(60), *range(100, 1100)]
+    add(table, "q", 3, 30, 40)
+    assert table.read().count() == 1060 and table.compact(small_rows=50) == 0
+    # Data of merged folders goes with clean, once it is old enough.
+    assert table.clean() == 0
+    assert table.clean(keep_seconds=-60, keep_manifests=1) == 6
+    assert ids(table.read()) == [*range(60), *range(100, 1100)]
+
+
+def test_concurrent_changes(table):
+    """Several writers and a compaction at once: no batch is lost, none comes twice."""
+    add(table, "w", 0, 0, 1)
+
+    def work(query):
+        for k in range(3):
+            add(table, query, k, 0, 5)
+
+    threads = [threading.Thread(target=work, args=(f"q{i}",)) for i in range(3)] + [threading.Thread(target=table.compact, args=(100,))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert Counter(ids(table.read())) == Counter([0] + 9 * list(range(5)))
+
+
+def test_compaction_between_runs_of_a_stream(spark, table, tmp_path):
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    for k in range(4):
+        spark.range(10 * k, 10 * k + 10).coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        stream = read_file_log(spark, folder, "id bigint", files_per_batch=1)
+        run_to_end(write_table_batches(stream, table.write, checkpoint, available_now=True))
+
+    run()
+    assert len(table.manifest().folders) == 4 and table.compact(1000) == 4
+    spark.range(40, 50).coalesce(1).write.mode("append").parquet(folder)
+    run()
+    assert ids(table.read()) == list(range(50)) and len(table.manifest().folders) == 2
+
+
+def test_a_writer_that_fails_leaves_the_table_alone(table):
+    add(table, "q", 0, 0, 5)
+    with pytest.raises(Exception, match="broken"):
+        table.add(table.spark.range(5).select(F.raise_error(F.lit("broken")).cast("bigint").alias("id")), "q", 1)
+    assert ids(table.read()) == list(range(5)) and not table.manifest().holds("q", 1)
