@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -66,17 +67,28 @@ class ParsedRecords(NamedTuple):
     bad: DataFrame
 
 
-def tag_records(df: DataFrame, value: str = "value", schema: T.StructType = ALARM_SCHEMA) -> DataFrame:
-    """Add ``record`` (NULL when bad) and ``outcome`` (``good``/``bad``).
+MALFORMED = "malformed"
 
-    One pass for both outcomes: write with ``partitionBy("outcome")`` to keep the bad rows.
+
+def tag_records(df: DataFrame, value: str = "value", schema: T.StructType = ALARM_SCHEMA, required: Sequence[str] = ()) -> DataFrame:
+    """Add ``record`` (NULL when bad), ``outcome`` (``good``/``bad``) and ``reason`` (NULL when good).
+
+    A row is bad if its text is no record (``malformed``), or if the record lacks one of the ``required`` fields
+    (``NULL in <field>``, the first of them). One pass for both outcomes: write with ``partitionBy("outcome")`` to keep the bad rows.
     """
+    unknown = set(required) - set(schema.names)
+    if unknown:
+        raise ValueError(f"no such fields: {sorted(unknown)}")
     parsed = F.col("_parsed")
     bad = is_bad_record(F.col(value), parsed, schema, F.col("_objects"))
+    # A field of a well-formed record is NULL exactly if its text is: what does not fit its type is malformed.
+    lacking = [F.when(parsed[name].isNull(), F.lit(f"NULL in {name}")) for name in required]
+    reason = F.coalesce(F.when(bad, F.lit(MALFORMED)), *lacking)
     record = F.when(F.col("outcome") == "good", typed_record(parsed, schema))
     rows = with_once(df, "_both", F.struct(parse_text(F.col(value), schema).alias("_parsed"), object_count(F.col(value)).alias("_objects")))
-    rows = rows.select("*", "_both.*").drop("_both")
-    return rows.withColumn("outcome", F.when(bad, "bad").otherwise("good")).withColumn("record", record).drop("_parsed", "_objects")
+    rows = rows.select("*", "_both.*").drop("_both").withColumn("reason", reason)
+    rows = rows.withColumn("outcome", F.when(F.col("reason").isNull(), "good").otherwise("bad")).withColumn("record", record)
+    return rows.drop("_parsed", "_objects")
 
 
 def parse_records(

@@ -7,6 +7,7 @@ by Spark from the tables, then read back through the operator.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
@@ -15,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ from rillflow.operators import (
     with_location,
 )
 from rillflow.plans import jobs
-from rillflow.sinks import file_batch_writer, log_rows, write_lines, write_log, write_table_batches
+from rillflow.sinks import BatchTable, file_batch_writer, log_rows, read_tagged_lines, write_lines, write_log, write_table_batches
 from rillflow.sources import from_values, read_dated_lines, read_file_log, read_lines, read_zip_lines
 from rillflow.sources.archive import open_file_system
 from rillflow.streaming import fan_out, read_bounded, run_to_end
@@ -51,6 +53,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Page size of the check whose groups all have several pages.
 SMALL_PAGE = 32
 ZIP_MEMBER_BYTES = 64 * 1024 * 1024
+# How long the read with a time limit goes on.
+TIME_CAP_SECONDS = 6.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -215,7 +219,9 @@ def src_dated_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "dated")
     day = F.date_format("ts", "yyyyMMdd")
     write_lines(events.select(F.concat_ws(",", day, "event_type").alias("value"), day.alias("day")), base, tag="day")
-    lines = read_dated_lines(spark, f"{base}/day=", start=first.date(), end=last.date())
+    # The range is wider than the days there are.
+    around = {"start": first.date() - dt.timedelta(days=3), "end": last.date() + dt.timedelta(days=3)}
+    lines = read_dated_lines(spark, f"{base}/day=", missing="skip", **around)
     return count_per_element(lines.select(F.split("value", ",")[0].alias("day")), "day")
 
 
@@ -304,10 +310,10 @@ def snk_keyed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snk_routed_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two prefix outputs written in one pass, then read back one by one."""
-    target = scratch_path(spark, "routed")
-    jobs.write_prefix_outputs(table(spark, sf_dir, "part"), target, ("s", "r"), "p_name")
-    outputs = [read_lines(spark, f"{target}/prefix={p}").withColumn("output", F.lit(p)) for p in ("s", "r")]
+    """Prefix outputs written in one pass, then read back one by one; no part has the last prefix."""
+    target, prefixes = scratch_path(spark, "routed"), ("s", "r", "#")
+    jobs.write_prefix_outputs(table(spark, sf_dir, "part"), target, prefixes, "p_name")
+    outputs = [read_tagged_lines(spark, target, "prefix", p).withColumn("output", F.lit(p)) for p in prefixes]
     return count_per_element(flatten(*outputs), "output", "value")
 
 
@@ -327,6 +333,73 @@ def sink_idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def sink_compacted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one checkpoint, every batch written twice; the table is compacted after each, and has all rows once."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    folder, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "compacted-checkpoint")
+    target = BatchTable(spark, scratch_path(spark, "compacted"))
+
+    def write_twice(batch: DataFrame, batch_id: int) -> None:
+        target.write(batch, batch_id)
+        target.write(batch, batch_id)
+
+    for half in range(2):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).write.mode("append").parquet(folder)
+        stream = read_file_log(spark, folder, events.schema, files_per_batch=2)
+        run_to_end(write_table_batches(stream, write_twice, checkpoint, available_now=True))
+        target.compact(small_rows=events.count())
+    return target.read().groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_failure_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A writer fails after half of a batch, which ends the query; started again on its checkpoint it writes all rows once."""
+    target, checkpoint = scratch_path(spark, "failed"), scratch_path(spark, "failed-checkpoint")
+    stream, write = table_stream(spark, sf_dir, "events").select("event_id", "event_type"), file_batch_writer(target)
+
+    def fail(batch: DataFrame, batch_id: int) -> None:
+        write(batch.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0), batch_id)
+        raise ConnectionError("half of the batch is written")
+
+    query = write_table_batches(stream, fail, checkpoint, max_retries=0, available_now=True)
+    try:
+        run_to_end(query)
+    except StreamingQueryException:
+        pass
+    if query.isActive or query.exception() is None:
+        raise AssertionError("the query must end with the failure of its writer")
+    run_to_end(write_table_batches(stream, write, checkpoint, available_now=True))
+    return spark.read.parquet(target).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_time_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read that follows files arriving in two steps until its time is over, held against the files it landed.
+
+    All that was there at the start or nothing is landed, files are landed whole, and no row twice.
+    """
+    events, folder = table(spark, sf_dir, "events").select("event_id", "ts", "user_id"), scratch_path(spark, "steps")
+
+    def arrive(step: int) -> None:
+        part = events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == step)
+        part.withColumn("step", F.lit(step)).write.mode("append").parquet(folder)
+
+    arrive(0)
+    stream = read_file_log(spark, folder, spark.read.parquet(folder).schema).select("*", F.col("_metadata.file_name").alias("file"))
+    later = threading.Timer(2.0, arrive, [1])
+    later.start()
+    landed = read_bounded(stream, max_seconds=TIME_CAP_SECONDS, follow=True)
+    later.join()
+    source = spark.read.parquet(folder).select("step", F.col("_metadata.file_name").alias("file"))
+    by_file = source.groupBy("file", "step").agg(F.count(F.lit(1)).alias("rows"))
+    seen = landed.groupBy(F.col("file").alias("landed_file")).agg(F.count(F.lit(1)).alias("landed_rows"))
+    both = by_file.join(seen, F.col("file") == F.col("landed_file"), "full")
+    whole = F.coalesce(F.bool_and(F.coalesce(F.col("landed_rows") == F.col("rows"), F.col("landed_rows").isNull())), F.lit(True))
+    first = F.count_if((F.col("step") == 0) & F.col("landed_rows").isNotNull())
+    all_or_none = (first == 0) | (first == F.count_if(F.col("step") == 0))
+    repeated = landed.agg(F.count(F.lit(1)) - F.countDistinct("event_id", "ts", "user_id")).first()[0]
+    flags = [whole.alias("whole_files"), all_or_none.alias("whole_first_step")]
+    return both.agg(*flags, F.lit(repeated).cast("bigint").alias("n_repeated"), F.sum("rows").alias("n_source"))
+
+
 def stream_batched_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good rows as records, bad ones by their text, each once although the stream ran twice."""
     target, bad, checkpoint = (scratch_path(spark, name) for name in ("table", "table-bad", "table-checkpoint"))
@@ -410,12 +483,12 @@ def prj_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prj_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good and bad rows are written in one pass and counted per input kind."""
+    """Good and bad rows are written in one pass and counted per input kind and reason; a record must have its source."""
     path = scratch_path(spark, "outcomes")
-    tag_records(mixed_json(table(spark, sf_dir, "events"))).write.partitionBy("outcome").parquet(path)
+    tag_records(mixed_json(table(spark, sf_dir, "events")), required=("alarmSource",)).write.partitionBy("outcome").parquet(path)
     rows = spark.read.parquet(path)
     source = F.coalesce(F.sum(F.col("record.alarmSource").cast("bigint")), F.lit(0)).cast("bigint").alias("sum_source")
-    return rows.groupBy("outcome", "event_type").agg(F.count(F.lit(1)).alias("n"), source)
+    return rows.groupBy("outcome", F.coalesce("reason", F.lit("")).alias("reason"), "event_type").agg(F.count(F.lit(1)).alias("n"), source)
 
 
 def prj_json_serialise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -602,6 +675,9 @@ QUERIES: dict[str, Query] = {
         snk_keyed_bytes,
         snk_routed_outputs,
         sink_idempotent_replay,
+        sink_compacted_batches,
+        stream_failure_restart,
+        stream_time_cap,
         stream_batched_sink,
         stream_json_documents,
         stream_kv_concat,

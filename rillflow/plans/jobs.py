@@ -42,9 +42,12 @@ QUEUE_LOCATION = "IN"
 
 
 def write_prefix_outputs(words: DataFrame, target: str, prefixes: Sequence[str] = ("A", "B"), column: str = "word") -> None:
-    """Words by prefix, each prefix into its own folder ``prefix=<p>``, in one pass over the input."""
+    """Words by prefix, each prefix into its own folder ``prefix=<p>``, in one pass over the input.
+
+    Read them with ``read_tagged_lines``, which also knows the prefixes that no word has.
+    """
     rules = [(p, F.col(column).startswith(p)) for p in prefixes]
-    write_lines(route(words, rules, "prefix"), target, column, tag="prefix")
+    write_lines(route(words, rules, "prefix"), target, column, tag="prefix", tags=prefixes)
 
 
 def write_main_route(words: DataFrame, target: str, rules: Sequence[tuple[str, Column]], column: str = "word") -> None:

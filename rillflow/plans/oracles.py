@@ -73,6 +73,9 @@ ORACLES: dict[str, str] = {
     "snk_routed_outputs": """select substr(p_name, 1, 1) as output, p_name as value, count(*) as n from part
         where starts_with(p_name, 's') or starts_with(p_name, 'r') group by 1, 2""",
     "sink_idempotent_replay": "select event_id, event_type, 2 * count(*) as n from events group by 1, 2",
+    "sink_compacted_batches": "select event_id, event_type, count(*) as n from events group by 1, 2",
+    "stream_failure_restart": "select event_id, event_type, count(*) as n from events group by 1, 2",
+    "stream_time_cap": "select true as whole_files, true as whole_first_step, cast(0 as bigint) as n_repeated, count(*) as n_source from events",
     "stream_batched_sink": f"""select case when {GOOD} then cast(event_id as varchar) end as alarmid,
         case when {GOOD} then cast(user_id % 7 as int) end as "alarmSource", case when not {GOOD} then {ALARM_DOC} || ' and more' end as bad_text from events""",
     "stream_json_documents": f"""select {ALARM_DOC} || case when {GOOD} then '' else ' and more' end as doc,
@@ -87,9 +90,10 @@ ORACLES: dict[str, str] = {
     "prj_location": f"select o_orderkey, country from {LOCATIONS}",
     "prj_json_parse": """select cast(event_id as varchar) as alarmid, event_type as "alarmTitle", 'M' || user_id as "deviceModel",
         cast(user_id % 7 as int) as "alarmSource", case when event_type <> 'error' then props end as "alarmMsg" from events""",
-    "prj_json_quarantine": """select case when event_type in ('purchase', 'error') or more then 'bad' else 'good' end as outcome, event_type,
-        count(*) as n, cast(sum(case when event_type in ('click', 'view') and not more then user_id else 0 end) as bigint) as sum_source
-        from (select *, event_type = 'click' and user_id % 5 in (1, 2, 3) as more from events) e group by 1, 2""",
+    "prj_json_quarantine": """select case when event_type in ('purchase', 'error', 'signup') or more then 'bad' else 'good' end as outcome,
+        case when event_type in ('purchase', 'error') or more then 'malformed' when event_type = 'signup' then 'NULL in alarmSource' else '' end as reason,
+        event_type, count(*) as n, cast(sum(case when event_type in ('click', 'view') and not more then user_id else 0 end) as bigint) as sum_source
+        from (select *, event_type = 'click' and user_id % 5 in (1, 2, 3) as more from events) e group by 1, 2, 3""",
     "prj_json_serialise": f"select {ALARM_DOC} as doc from events",
     "prj_key_value": """select line, count(*) as n from (
         select case when event_type <> 'error' then event_type else 'null' end || ' # ' || props as line from events) l group by line""",

@@ -78,6 +78,23 @@ def test_outcomes_are_written_in_one_pass(spark, mixed, tmp_path):
     assert counts == {"good": len(GOOD), "bad": len(BAD)}
 
 
+def test_reasons(spark):
+    rows = [('{"alarmSource":"3"}',), ('{"alarmTitle":"t"}',), ('{"alarmSource":null,"alarmTitle":"t"}',), ('{"alarmSource":"x"}',), ("nothing",), (None,)]
+    df = spark.createDataFrame(rows, "value string")
+    got = {r.value: (r.outcome, r.reason, r.record and r.record.alarmSource) for r in tag_records(df, required=("alarmSource", "alarmTitle")).collect()}
+    assert got == {
+        rows[0][0]: ("bad", "NULL in alarmTitle", None),
+        rows[1][0]: ("bad", "NULL in alarmSource", None),
+        rows[2][0]: ("bad", "NULL in alarmSource", None),
+        rows[3][0]: ("bad", "malformed", None),
+        "nothing": ("bad", "malformed", None),
+        None: ("bad", "malformed", None),
+    }
+    assert [(r.outcome, r.reason) for r in tag_records(df.limit(1)).collect()] == [("good", None)]
+    with pytest.raises(ValueError, match="no such"):
+        tag_records(df, required=("nothing",))
+
+
 def test_parsing_happens_once(spark, mixed):
     plan = parse_records(mixed, on_bad="drop")._jdf.queryExecution().optimizedPlan().toString()
     # Once for the fields, once for the number of objects.

@@ -9,6 +9,7 @@ from rillflow.sinks import (
     log_rows,
     with_retries,
     write_documents,
+    read_tagged_lines,
     write_lines,
     write_log,
     write_table_batches,
@@ -169,3 +170,23 @@ def test_empty_and_capped_batches(spark, tmp_path):
     assert len(list((tmp_path / "t" / "query_id=none" / "batch_id=0").glob("*.parquet"))) == 3
     write(spark.range(0), 0)
     assert spark.read.schema("id bigint").parquet(str(tmp_path / "t")).count() == 0
+
+
+def test_tagged_lines_know_their_tags(spark, tmp_path):
+    path = str(tmp_path / "tagged")
+    rows = spark.createDataFrame([("a", "one"), ("a", "two"), ("b #1/x", "three")], "tag string, value string")
+    write_lines(rows, path, tag="tag", tags=("a", "b #1/x", "none"))
+    assert [r.value for r in read_tagged_lines(spark, path, "tag", "b #1/x").collect()] == ["three"]
+    assert sorted(r.value for r in read_tagged_lines(spark, path, "tag", "a").collect()) == ["one", "two"]
+    assert read_tagged_lines(spark, path, "tag", "none").collect() == []
+    with pytest.raises(ValueError, match="no output 'c'"):
+        read_tagged_lines(spark, path, "tag", "c")
+    # Plain readers pass over the list.
+    assert spark.read.text(path).count() == 3
+    write_lines(rows.limit(0), path, tag="tag", tags=("a",))
+    assert read_tagged_lines(spark, path, "tag", "a").collect() == []
+    for other in (rows, rows.withColumn("tag", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="no known tag"):
+            write_lines(other, str(tmp_path / "other"), tag="tag", tags=("a",))
+    with pytest.raises(ValueError, match="column"):
+        write_lines(rows, path, tags=("a",))

@@ -8,6 +8,7 @@ import pytest
 
 from rillflow.sources import JdbcSplit, dated_paths, from_values, jdbc_options, read_dated_lines, read_lines, read_log, read_zip_lines
 from rillflow.sources import archive
+from rillflow.sources.dated import present_days
 
 
 def values(df):
@@ -116,6 +117,20 @@ def test_dated_paths():
         dated_paths("b/", "", day, dt.date(2024, 1, 1))
 
 
+def test_missing_days(spark, tmp_path):
+    base = f"{tmp_path}/log-"
+    for day in ("20240227", "20240229", "20240302", "20249999"):
+        (tmp_path / f"log-{day}.txt").write_text(f"{day}\n")
+    days = {"start": dt.date(2024, 2, 26), "end": dt.date(2024, 3, 1)}
+    assert list(present_days(spark, base, ".txt")) == [dt.date(2024, 2, 27), dt.date(2024, 2, 29), dt.date(2024, 3, 2)]
+    assert values(read_dated_lines(spark, base, ".txt", missing="skip", **days)) == ["20240227", "20240229"]
+    assert values(read_dated_lines(spark, base, ".txt", dt.date(2023, 1, 1), missing="skip")) == []
+    with pytest.raises(FileNotFoundError, match="2024-02-26, 2024-02-28, 2024-03-01"):
+        read_dated_lines(spark, base, ".txt", **days)
+    with pytest.raises(ValueError, match="missing"):
+        read_dated_lines(spark, base, ".txt", missing="ignore")
+
+
 def test_dated_lines(spark, tmp_path):
     for day in (1, 2, 3):
         (tmp_path / f"2024010{day}.txt").write_text(f"day {day}\n")
