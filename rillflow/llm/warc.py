@@ -31,8 +31,10 @@ ROLL_BYTES = 256 << 20
 SPLIT_BYTES = 64 << 20
 CHUNK = 1 << 20
 BATCH_BYTES = 8 << 20
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
 NAME = "warc_archive"
+# Options that ask for a header field begin so.
+ASKED = "header."
 
 # Columns that come from named header fields; ``headers`` holds all of them.
 FIELDS = {
@@ -144,10 +146,48 @@ class Files(InputPartition):
     names: list[str] = field(default_factory=list)
 
 
-def _wanted(filters: list[Filter], headers: dict[str, str]) -> bool:
+def plain_members(stream) -> Iterator[Member]:
+    """Records of an archive without compression. What a caller doesn't read of a block is skipped."""
+    while True:
+        begin = stream.tell()
+        data = stream.read(2048)
+        # Blank lines between records, and their end.
+        blank = len(data) - len(data.lstrip(b"\r\n"))
+        if blank:
+            stream.seek(begin + blank)
+            continue
+        if not data:
+            return
+        while b"\r\n\r\n" not in data:
+            more = stream.read(CHUNK)
+            if not more:
+                raise ValueError("an archive ends within a record")
+            data += more
+        head, _, rest = data.partition(b"\r\n\r\n")
+        if not head.startswith(b"WARC/"):
+            raise ValueError("not a WARC record")
+        headers, place = _fields(head), begin + len(data)
+        size = int(headers.get("content-length", 0))
+
+        def follow(place: int = place, left: int = size - len(rest)) -> Iterator[bytes]:
+            while left > 0:
+                stream.seek(place)
+                part = stream.read(min(CHUNK, left))
+                if not part:
+                    raise ValueError("an archive ends within a record")
+                place, left = place + len(part), left - len(part)
+                yield part
+
+        yield Member(headers, rest, follow())
+        stream.seek(begin + len(head) + 4 + size)
+
+
+def _wanted(filters: list[Filter], said: dict[str, str], headers: dict[str, str]) -> bool:
+    """Whether a record header meets the pushed filters and the header fields asked for."""
+    if any(headers.get(name) != value for name, value in said.items()):
+        return False
     for f in filters:
-        name = f.attribute[0]
-        value = headers.get(f.attribute[1] if name == "headers" else FIELDS[name])
+        value = headers.get(FIELDS[f.attribute[0]])
         if isinstance(f, EqualTo) and value != f.value:
             return False
         if isinstance(f, In) and value not in f.value:
@@ -160,11 +200,12 @@ def _wanted(filters: list[Filter], headers: dict[str, str]) -> bool:
 
 
 class WarcReader(DataSourceReader):
-    """Plans partitions by files; filters on header columns are checked before a payload is touched."""
+    """Plans partitions by files; filters on header columns, and options ``header.<name>``, are checked before a payload is touched."""
 
     def __init__(self, schema: T.StructType, options: dict[str, str]) -> None:
         self.schema, self.path, self.filters = schema, options["path"], []
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
+        self.said = {name[len(ASKED) :].lower(): value for name, value in options.items() if name.lower().startswith(ASKED)}
 
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
@@ -178,12 +219,10 @@ class WarcReader(DataSourceReader):
         """Files in runs of about ``splitBytes``. A file is one task's work, so writers start new ones at 256 MB."""
         fs, root = _open(self.path)
         found = {i.path: i.size for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if i.is_file}
-        manifest = f"{root.rstrip('/')}/{MANIFEST}"
-        if manifest in found:
-            # Only what a finished write has listed; files of failed tasks are not read.
-            with fs.open_input_stream(manifest) as file:
-                listed = json.loads(file.read())
-            found = {f"{root.rstrip('/')}/{name}": found[f"{root.rstrip('/')}/{name}"] for name in listed}
+        manifests = _manifests(found)
+        if manifests:
+            # Only what finished writes have listed; files of failed tasks are not read.
+            found = {path: found[path] for manifest in manifests for path in _listed(fs, manifest)}
         runs, size = [Files()], 0
         for path, length in sorted(found.items()):
             if not path.endswith((".warc", ".warc.gz")):
@@ -204,8 +243,8 @@ class WarcReader(DataSourceReader):
         size = 0
         for name in partition.names:
             with fs.open_input_file(name) as stream:
-                for one in members(stream):
-                    if not _wanted(self.filters, one.headers):
+                for one in plain_members(stream) if name.endswith(".warc") else members(stream):
+                    if not _wanted(self.filters, self.said, one.headers):
                         continue
                     http, payload = {}, None
                     if need_http or need_payload:
@@ -223,6 +262,16 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], schema=kinds)
 
 
+def _manifests(paths: Iterable[str]) -> list[str]:
+    return sorted(p for p in paths if p.rpartition("/")[2].startswith(MANIFEST) and p.endswith(".json"))
+
+
+def _listed(fs: pafs.FileSystem, manifest: str) -> list[str]:
+    """The files that a manifest lists, which lie beside it."""
+    with fs.open_input_stream(manifest) as file:
+        return [f"{manifest.rpartition('/')[0]}/{name}" for name in json.loads(file.read())]
+
+
 @dataclass
 class Written(WriterCommitMessage):
     names: list[str]
@@ -231,10 +280,12 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     """Rows ``(record_id, target_uri, payload_digest, refers_to, payload, payload_bytes)`` as response and revisit records.
 
-    A task writes files of its own; the manifest, written when all have ended, says which count.
+    A task writes files of its own. Every write has a manifest, written when all its tasks have ended, that says which of
+    them count; the archive is what all manifests list. ``overwrite`` removes what was listed before.
     """
 
-    def __init__(self, options: dict[str, str]) -> None:
+    def __init__(self, options: dict[str, str], overwrite: bool = False) -> None:
+        self.overwrite = overwrite
         self.path, self.level = options["path"], int(options.get("level", 6))
         self.roll = int(options.get("rollbytes", ROLL_BYTES))
 
@@ -258,9 +309,18 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, root = _open(self.path)
+        root = root.rstrip("/")
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root.rstrip('/')}/{MANIFEST}") as file:
+        before = _manifests(i.path for i in fs.get_file_info(pafs.FileSelector(root)) if i.is_file) if self.overwrite else []
+        name = f"{MANIFEST}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(f"{root}/{name}.tmp") as file:
             file.write(json.dumps([n for m in messages if m for n in m.names]).encode())
+        fs.move(f"{root}/{name}.tmp", f"{root}/{name}.json")
+        for manifest in before:
+            old = _listed(fs, manifest)
+            fs.delete_file(manifest)
+            for path in old:
+                fs.delete_file(path)
 
     def abort(self, messages: list[Written | None]) -> None:
         fs, root = _open(self.path)
@@ -299,19 +359,21 @@ class WarcSource(DataSource):
         return WarcReader(schema, self.options)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
-def read_warc(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Records of the archives below ``path``, by default with all columns.
+def read_warc(spark: SparkSession, path: str, *columns: str, headers: dict[str, str] | None = None) -> DataFrame:
+    """Records of the archives below ``path``, gzipped or plain, by default with all columns.
 
-    Without ``payload`` and ``http_headers`` no block is inflated. ``where`` on ``record_type`` and the other
-    header columns is pushed into the source.
+    Without ``payload`` and ``http_headers`` no block is read. ``where`` on ``record_type`` and the other
+    header columns is pushed into the source; conditions on other header fields go there as ``headers``, names and the values
+    they must have, since Spark pushes no conditions on maps. Once a write of this package has left a manifest, only listed files count.
     """
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     wanted = T.StructType([f for f in SCHEMA if not columns or f.name in columns])
-    return spark.read.format(NAME).schema(wanted).load(path)
+    asked = {f"{ASKED}{name.lower()}": value for name, value in (headers or {}).items()}
+    return spark.read.format(NAME).schema(wanted).options(**asked).load(path)
 
 
 def record_uri(row_id) -> F.Column:
@@ -331,13 +393,13 @@ def _base32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests), sizes], names=["id", "uri", "payload", "digest", "size"])
 
 
-def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", uri_col: str | None = "url", payload_col: str = "html", level: int = 6) -> None:
-    """A record per row. Of equal payloads of at least ``min_bytes`` bytes one is a response, the others revisit it.
+def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id", uri_col: str | None = "url", payload_col: str = "html", level: int = 6, mode: str = "append") -> None:
+    """A record per row, added to the archives at ``path`` or, with ``mode`` ``overwrite``, in their place. Of equal payloads of at least ``min_bytes`` bytes one is a response, the others revisit it.
 
     The response is the row with the smallest id; rows that repeat this id are responses too. A NULL id is
     larger than any other, a NULL payload is empty, a NULL URI is left out, and blanks and control characters
     in a URI are percent-encoded. Payloads may be text, stored as UTF-8, or binary. Other columns are ignored.
-    An empty table gives an archive without files. Groups of equal payloads meet only as digests, which are
+    An empty table adds no records. Roles are given within one write: pages of another write are not looked at. Groups of equal payloads meet only as digests, which are
     counted before they are shuffled.
     """
     pages.sparkSession.dataSource.register(WarcSource)
@@ -357,7 +419,7 @@ def write_pages(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "
         F.when(revisit, record_uri(F.col("first"))).alias("refers_to"),
         F.when(~revisit, F.col("payload")).alias("payload"),
         F.col("size").alias("payload_bytes"),
-    ).write.format(NAME).mode("append").option("level", level).save(path)
+    ).write.format(NAME).mode(mode).option("level", level).save(path)
 
 
 def read_pages(spark: SparkSession, path: str, id_type: str = "long", id_col: str = "page_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from rillflow.llm.queries import op2_warc
-from rillflow.llm.warc import member, members, page_archive, page_record, read_pages, read_warc, record, write_pages
+from rillflow.llm.warc import member, members, page_archive, page_record, plain_members, read_pages, read_warc, record, write_pages
 
 SCHEMA = "page_id long, url string, html string, digest string, first string, size long, n int, id string"
 
@@ -84,6 +84,45 @@ def test_archives_of_other_writers(spark, tmp_path):
     assert read_warc(spark, str(tmp_path)).where("record_type = 'warcinfo'").first().payload == b"software: none\r\n"
 
 
+def test_writes_add_up(spark, pages, tmp_path):
+    path = str(tmp_path / "w")
+    first, second = pages.where("page_id = 5"), pages.where("page_id in (3, 9)")
+    write_pages(first, path)
+    write_pages(second, path)
+    write_pages(pages.limit(0), path)
+    assert sorted(r.page_id for r in read_pages(spark, path).collect()) == [3, 3, 5, 9]
+    (tmp_path / "w" / "part-unlisted.warc.gz").write_bytes(b"of a task that failed")
+    write_pages(first, path)
+    assert sorted(r.page_id for r in read_pages(spark, path).collect()) == [3, 3, 5, 5, 9]
+    write_pages(second, path, mode="overwrite")
+    assert sorted(r.page_id for r in read_pages(spark, path).collect()) == [3, 3, 9]
+    assert len(list((tmp_path / "w").glob("_manifest-*.json"))) == 1
+
+
+def test_header_fields_are_asked_of_the_source(spark, tmp_path):
+    records = [
+        record([("WARC-Type", "resource"), ("WARC-Record-ID", f"<urn:{k}>"), ("Content-Type", kind), ("X-Own", str(k % 2))], b"z" * 5000 * k)
+        for k, kind in enumerate(["text/plain", "text/html", "text/plain", "text/html"])
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(member, records)))
+    (tmp_path / "b.warc").write_bytes(b"".join(records))
+    for headers, want in [({"Content-Type": "text/html"}, [1, 1, 3, 3]), ({"content-type": "text/plain", "x-own": "0"}, [0, 0, 2, 2]), ({"none": "x"}, [])]:
+        rows = read_warc(spark, str(tmp_path), "record_id", "payload", headers=headers).collect()
+        assert sorted(int(r.record_id[5:-1]) for r in rows) == want
+        assert all(bytes(r.payload) == b"z" * 5000 * int(r.record_id[5:-1]) for r in rows)
+
+
+def test_plain_archives():
+    records = [record([("WARC-Type", "resource"), ("WARC-Record-ID", str(k))], bytes([65 + k]) * size) for k, size in enumerate([0, 10, 3_000_000, 2040, 4096, 1])]
+    stream = io.BytesIO(b"\r\n" + b"".join(records) + b"\r\n" * 3)
+    assert [(m.headers["warc-record-id"], len(m.block())) for m in plain_members(stream)] == [("0", 0), ("1", 10), ("2", 3_000_000), ("3", 2040), ("4", 4096), ("5", 1)]
+    stream.seek(0)
+    assert [m.headers["warc-record-id"] for m in plain_members(stream)] == list("012345")
+    with pytest.raises(ValueError, match="ends within"):
+        for m in plain_members(io.BytesIO(records[2][:5000])):
+            m.block()
+
+
 def test_spoilt_payload_is_noticed(spark, tmp_path):
     (tmp_path / "a.warc.gz").write_bytes(member(page_record("<urn:x-row:4>", "http://a", digest(b"right"), None, b"wrong", 5)))
     with pytest.raises(Exception, match="differs from its digest"):
