@@ -460,10 +460,16 @@ def find_spans(text: str, model: Model) -> tuple[list[tuple[int, int, int]], lis
 
 
 def sample_words(docs: DataFrame, rows: int, chars: int, id_col: str, text_col: str) -> list[str]:
-    """Words of stretches of at most ``chars`` characters from the ``rows`` documents that come first by a hash of their id."""
+    """Words of stretches of at most ``chars`` characters from up to ``rows`` documents that come first by a hash of id and text.
+
+    Of all documents only some ``8 rows`` with the lowest hashes are looked at, so that few rows leave a task however
+    many tasks there are; copies of a document count once.
+    """
     h = F.xxhash64(F.col(id_col), F.col(text_col))
+    share = min(1.0, 8 * rows / max(docs.count(), 1))
     start = F.pmod(h, F.greatest(F.char_length(text_col) - chars, F.lit(1))) + 1
-    own = docs.where(F.col(text_col).isNotNull()).select(h.alias("h"), F.substring(text_col, start, F.lit(chars)).alias("part"))
+    low = docs.where(F.col(text_col).isNotNull() & (h <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1025)))))
+    own = low.select(h.alias("h"), F.substring(text_col, start, F.lit(chars)).alias("part")).groupBy("h").agg(F.min("part").alias("part"))
     parts = [r.part for r in own.orderBy("h", "part").limit(rows).collect()]
     return [w for part in parts for w in WORD.findall(part)]
 

@@ -4,9 +4,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rillflow.llm import pii
-from rillflow.llm.pii import KINDS, OUTSIDE, Generator, Lattice, Likelihood, Model, base_spans, find_spans, learn, luhn, personal_data
+from rillflow.llm.pii import KINDS, OUTSIDE, Generator, Lattice, Likelihood, Model, base_spans, find_spans, learn, luhn, personal_data, sample_words
 from rillflow.llm.queries import op11_pii
 
 PATTERNS = {
@@ -171,6 +172,15 @@ def test_edge_rows(docs, small_docs, no_docs, model, monkeypatch):
     assert personal_data(no_docs).collect() == []
 
 
+def test_sample_is_bounded_and_leaves_copies_out(spark):
+    rows = spark.range(3000).select("id", F.concat(F.lit("same "), F.chr(F.lit(97) + F.col("id") % 26), F.lit(" words")).alias("text"))
+    words = sample_words(rows.union(rows), 50, 9, "id", "text")
+    assert 50 < len(words) <= 150
+    assert words == sample_words(rows.union(rows).repartition(3), 50, 9, "id", "text")
+    one = spark.range(40).select(F.lit(1).alias("id"), F.lit("a copy").alias("text"))
+    assert sample_words(one, 50, 400, "id", "text") in (["a", "copy"], [])
+
+
 def test_no_documents_to_learn_from(no_docs):
     rows = personal_data(no_docs, training_islands=50)
     assert rows.columns == ["doc_id", "base", "spans"] and rows.collect() == []
