@@ -5,6 +5,7 @@ import zipfile
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rillflow.sources import JdbcSplit, dated_paths, from_values, jdbc_options, read_dated_lines, read_lines, read_log, read_zip_lines
 from rillflow.sources import archive
@@ -107,6 +108,39 @@ def test_zip_and_text_agree(spark, tmp_path):
     assert values(read_zip_lines(spark, str(tmp_path / "t.zip"))) == values(read_lines(spark, str(tmp_path / "t.txt")))
 
 
+@pytest.mark.parametrize("range_bytes", [1, 2, 3, 7, 50, 100_000])
+def test_stored_members_are_cut_at_line_ends(tmp_path, monkeypatch, range_bytes):
+    """Every line belongs to exactly one range, for all ways to end lines and places to cut."""
+    monkeypatch.setattr(archive, "CHUNK_BYTES", 4)
+    pick = random.Random(range_bytes)
+    for _ in range(40 if range_bytes < 1000 else 5):
+        content = "".join(pick.choice(["a", "é", "bcd", "\n", "\r", "\r\n", "\n\n", "\r\r\n"]) for _ in range(pick.randint(0, 60))).encode()
+        with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+            z.writestr("m", content)
+        want = archive.block_lines(content).to_pylist() if content else []
+        with zipfile.ZipFile(tmp_path / "s.zip") as z, open(tmp_path / "s.zip", "rb") as file:
+            member, got = z.infolist()[0], []
+            for low, high in archive._ranges(member, range_bytes):
+                for block in archive.line_blocks(archive._stored_chunks(file, member.header_offset, len(content), low, high)):
+                    got += archive.block_lines(block).to_pylist()
+        assert got == want, content
+
+
+def test_one_stored_member_is_read_by_many_tasks(spark, tmp_path):
+    lines = [f"line {i} {'x' * (i % 50)}" for i in range(5000)]
+    with zipfile.ZipFile(tmp_path / "s.zip", "w") as z:
+        z.writestr("small", "alone\n")
+        z.writestr("large", "\n".join(lines))
+    read = read_zip_lines(spark, str(tmp_path), tasks=16, range_bytes=10_000)
+    assert values(read) == sorted([*lines, "alone"])
+    tasks = read.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 5
+    # Deflated members can't be cut.
+    with zipfile.ZipFile(tmp_path / "s.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("large", "\n".join(lines))
+    assert read_zip_lines(spark, str(tmp_path), tasks=16, range_bytes=1000).select(F.spark_partition_id().alias("task")).distinct().count() == 1
+
+
 def test_dated_paths():
     day = dt.date(2024, 2, 28)
     assert dated_paths("b/", ".csv", day) == ["b/20240228.csv"]
