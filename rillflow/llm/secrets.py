@@ -1,6 +1,7 @@
 """Secret scanning: candidate strings, and a random forest that removes false positives.
 
-Candidates are long tokens with a digit. Their features are length and make-up, the likelihood of their character
+Candidates are long tokens with a digit, and whatever is given to a name that speaks of a secret (``password = "hunter2!"``),
+however short and of whichever characters; the forest rejects. Their features are length and make-up, the likelihood of their character
 transitions and the share that dictionary words cover, both learnt from all documents, the path of the
 document, and the words around. The forest learns from labelled findings. All of it is DataFrame and ML pipeline
 operations of the JVM.
@@ -24,6 +25,17 @@ CANDIDATE = r"[A-Za-z0-9+/=_.\-]{16,}"
 # Words that go with secrets, and the way values are given to names.
 KEYWORDS = r"(?i)(key|token|secret|passw|pwd|auth|cred|private|bearer|signature)"
 ASSIGNED = r"""[=:]["']?$|^[=:]+$"""
+# Names of secrets, as they end; a value follows after an equals sign or colon.
+SECRET_NAME = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|credentials?|(?:api|access|private|secret|auth)[_\-]?key)"
+QUOTE = r"""["'`]"""
+NAME_ENDS = rf"(?i){SECRET_NAME}{QUOTE}?$"
+NAME_GIVEN = rf"(?i){SECRET_NAME}{QUOTE}?[=:]+$"
+NAME_AND_VALUE = rf"(?i){SECRET_NAME}{QUOTE}?[=:]+{QUOTE}?([^\x20\x09-\x0D\"'`]+)"
+GIVEN_IN_TEXT = rf"(?i)({SECRET_NAME}{QUOTE}?[\x20\x09-\x0D]*[=:]+[\x20\x09-\x0D]*{QUOTE}?)[^\x20\x09-\x0D\"'`]+"
+# A run of letters or digits that makes up this share of all runs is a dictionary word.
+DICTIONARY_SHARE = 2e-5
+# Smoothing of the transition table, as a share of all pairs.
+SMOOTHING = 1e-6
 # Symbols of the transition table: letters, one for digits, one for the rest; so it has 28 x 28 rows at most.
 SYMBOLS = 28
 PATH_BUCKETS = 16
@@ -36,33 +48,50 @@ FEATURES = [
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """``(id, mark, word, nth, candidate, token, before, before2, after, path)`` for every candidate of every text.
 
-    ``word`` numbers the words of the text, ``nth`` the candidates within one. Rows equal in id and text count once.
+    ``word`` numbers the words of the text, ``nth`` the candidates within one: long strings in their order, then a value
+    given to the name of a secret. Rows equal in id and text count once.
     """
     path = F.lit(None) if path_col is None else F.col(path_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), path.cast("string").alias("path"))
     identity, mark = row_key("id", "text")
     # Texts without a candidate end here, before they are split.
-    rows = rows.where(F.col("text").rlike(CANDIDATE)).select(identity.alias("id"), mark.alias("mark"), "text", "path")
+    rows = rows.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(GIVEN_IN_TEXT)).select(identity.alias("id"), mark.alias("mark"), "text", "path")
     words = F.col("words")
     found = rows.withColumn("words", F.split("text", BLANKS, -1)).drop("text")
-    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).rlike(CANDIDATE))
+    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).rlike(CANDIDATE) | _given(F.get(words, i), F.get(words, i - 1), F.get(words, i - 2)).isNotNull())
     found = found.withColumn("word", F.explode(at)).select(
         "id", "mark", "path", "word", F.get(words, F.col("word")).alias("token"),
         F.get(words, F.col("word") - 1).alias("before"), F.get(words, F.col("word") - 2).alias("before2"), F.get(words, F.col("word") + 1).alias("after"),
     )
-    found = found.select("*", F.posexplode(F.regexp_extract_all("token", F.lit(CANDIDATE), 0)).alias("nth", "candidate"))
-    found = found.where(F.col("candidate").rlike("[0-9]"))
+    long = F.regexp_extract_all("token", F.lit(CANDIDATE), 0)
+    given = _given(F.col("token"), F.col("before"), F.col("before2"))
+    listed = F.array_contains(F.filter(long, lambda c: c.rlike("[0-9]")), given)
+    own = F.concat(
+        F.transform(long, lambda c: F.struct(c.alias("candidate"), c.rlike("[0-9]").alias("counts"))),
+        F.array(F.struct(given.alias("candidate"), (given.isNotNull() & ~F.coalesce(listed, F.lit(False))).alias("counts"))),
+    )
+    found = found.select("*", F.posexplode(own).alias("nth", "one")).where("one.counts").select("*", "one.candidate").drop("one")
     return found.dropDuplicates(["id", "mark", "word", "nth"])
 
 
+def _given(token: Column, before: Column, before2: Column) -> Column:
+    """The value that a word gives to the name of a secret in it or before it; NULL without one."""
+    inner = F.regexp_extract(token, NAME_AND_VALUE, 1)
+    named = F.coalesce(before.rlike(NAME_GIVEN) | (before.rlike("^[=:]+$") & before2.rlike(NAME_ENDS)), F.lit(False))
+    value = F.when(inner != "", inner).when(named & ~token.rlike("^[=:]+$"), token)
+    bare = F.regexp_replace(value, r"""^["'`(\[{<]+|["'`)\]}>,;.]+$""", "")
+    return F.nullif(bare, F.lit(""))
+
+
 def _plain(text: Column) -> Column:
     """Lower case, one symbol for digits."""
     return F.regexp_replace(F.lower(text), "[0-9]", "0")
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(token, n)``: letter and digit runs of all texts, counted before they are shuffled."""
-    runs = F.explode(F.split(_plain(F.col(text_col).cast("string")), "[^a-z0]+")).alias("token")
+    """``(token, n)``: letter and digit runs of all texts but those of candidates, counted before they are shuffled."""
+    text = F.regexp_replace(F.regexp_replace(F.col(text_col).cast("string"), CANDIDATE, " "), GIVEN_IN_TEXT, "$1")
+    runs = F.explode(F.split(_plain(text), "[^a-z0]+")).alias("token")
     return docs.select(runs).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -75,15 +104,19 @@ def transitions(words: DataFrame) -> DataFrame:
     pairs = words.where("length(token) > 1").select(F.explode(_pairs("token")).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
     first = F.substring("pair", 1, 1)
     totals = pairs.groupBy(first.alias("a")).agg(F.sum("n").alias("total"))
-    return pairs.join(totals, first == F.col("a")).select("pair", F.log((F.col("n") + 0.5) / (F.col("total") + 0.5 * SYMBOLS)).alias("logp"))
+    # Shares, so that a corpus and two copies of it give the same table.
+    every = float(pairs.agg(F.sum("n")).first()[0] or 1)
+    logp = F.log((F.col("n") / every + SMOOTHING) / (F.col("total") / every + SMOOTHING * SYMBOLS))
+    return pairs.join(totals, first == F.col("a")).select("pair", logp.alias("logp"))
 
 
 def _share(pattern: str) -> Column:
     return F.regexp_count("candidate", F.lit(pattern)) / F.length("candidate")
 
 
-def featured(found: DataFrame, words: DataFrame, dictionary_min: int = 20) -> DataFrame:
-    """``found`` with ``FEATURES``; a dictionary word is one that occurs ``dictionary_min`` times."""
+def featured(found: DataFrame, words: DataFrame, dictionary_share: float = DICTIONARY_SHARE) -> DataFrame:
+    """``found`` with ``FEATURES``; a dictionary word is one that makes up ``dictionary_share`` of all runs of ``words``."""
+    least = dictionary_share * float(words.agg(F.sum("n")).first()[0] or 0)
     keys = ["id", "mark", "word", "nth"]
     same = lambda a, b: F.expr(" and ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
     # Transitions: a table of a few hundred rows at most, whatever the corpus.
@@ -91,10 +124,10 @@ def featured(found: DataFrame, words: DataFrame, dictionary_min: int = 20) -> Da
     likely = pairs.join(F.broadcast(transitions(words)), "pair", "left").groupBy(*keys).agg(F.avg(F.coalesce("logp", F.lit(-12.0))).alias("transitions"))
     # Coverage: letter runs that are dictionary words.
     runs = found.select(*keys, F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit("[a-z]{3,}"), 0)).alias("token"))
-    known = runs.join(words.where(F.col("n") >= dictionary_min).select("token"), "token").groupBy(*keys).agg(F.sum(F.length("token")).alias("covered"))
+    known = runs.join(words.where(F.col("n") >= least).select("token"), "token").groupBy(*keys).agg(F.sum(F.length("token")).alias("covered"))
     base = found.alias("f").join(likely.alias("t"), same("f", "t"), "left").select("f.*", "t.transitions")
     base = base.alias("f").join(known.alias("d"), same("f", "d"), "left").select("f.*", "d.covered")
-    glued = F.regexp_extract("token", f"^(.*?){CANDIDATE}", 1)
+    glued = F.when(F.col("token").rlike(CANDIDATE), F.regexp_extract("token", f"^(.*?){CANDIDATE}", 1)).otherwise(F.expr("substring_index(token, candidate, 1)"))
     near = F.concat_ws(" ", "before2", "before", glued)
     bucket = lambda c, n: F.when(c.isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(c), F.lit(n)))
     values = {

@@ -7,7 +7,18 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rillflow.llm.queries import op7_secret_scan
-from rillflow.llm.secrets import CANDIDATE, FEATURES, candidates, featured, review, scan, transitions, vocabulary
+from rillflow.llm.secrets import CANDIDATE, FEATURES, GIVEN_IN_TEXT, candidates, featured, review, scan, transitions, vocabulary
+
+
+def slow_given(word, before, before2):
+    name = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|credentials?|(?:api|access|private|secret|auth)[_-]?key)[\"'`]?"
+    inner = re.search(name + r"[=:]+[\"'`]?([^\x20\x09-\x0D\"'`]+)", word, re.IGNORECASE)
+    value = inner[1] if inner else None
+    if not inner and not re.fullmatch("[=:]+", word):
+        named = re.search(name + r"[=:]+\Z", before or "", re.IGNORECASE)
+        apart = re.fullmatch("[=:]+", before or "") and re.search(name + r"\Z", before2 or "", re.IGNORECASE)
+        value = word if named or apart else None
+    return re.sub(r"""^["'`(\[{<]+|["'`)\]}>,;.]+\Z""", "", value) if value else None
 
 
 def slow_candidates(rows):
@@ -15,10 +26,12 @@ def slow_candidates(rows):
     for i, text in rows:
         words = re.split(r"[\x20\x09-\x0D]+", text or "")
         for at, word in enumerate(words):
-            for nth, c in enumerate(re.findall(CANDIDATE, word)):
-                if re.search("[0-9]", c):
-                    near = [words[k] if 0 <= k < len(words) else None for k in (at - 2, at - 1, at + 1)]
-                    out.add((i, text, at, nth, c, *near))
+            near = [words[k] if 0 <= k < len(words) else None for k in (at - 2, at - 1, at + 1)]
+            long = re.findall(CANDIDATE, word)
+            out.update((i, text, at, nth, c, *near) for nth, c in enumerate(long) if re.search("[0-9]", c))
+            given = slow_given(word, near[1], near[0])
+            if given and not (given in long and re.search("[0-9]", given)):
+                out.add((i, text, at, len(long), given, *near))
     return Counter((i, *rest) for i, _, *rest in out)
 
 
@@ -47,16 +60,18 @@ def test_candidates_against_brute_force(spark, docs, small_docs, spoken):
 def test_features(spoken):
     df, rows, _ = spoken
     words = vocabulary(df).cache()
-    runs = Counter(w for r in rows for w in re.split("[^a-z0]+", re.sub("[0-9]", "0", (r[1] or "").lower())) if w)
+    bare = [re.sub(GIVEN_IN_TEXT, r"\1", re.sub(CANDIDATE, " ", r[1] or "")) for r in rows]
+    runs = Counter(w for text in bare for w in re.split("[^a-z0]+", re.sub("[0-9]", "0", text.lower())) if w)
+    least = 1e-3 * sum(runs.values())
     assert {r.token: r.n for r in words.collect()} == runs
     pairs = Counter()
     for w, n in runs.items():
         for a, b in zip(w, w[1:], strict=False):
             pairs[a + b] += n
     assert set(r.pair for r in transitions(words).collect()) == set(pairs)
-    for r in featured(candidates(df), words, 20).collect():
+    for r in featured(candidates(df), words, 1e-3).collect():
         runs_in = re.findall("[a-z]{3,}", r.candidate.lower())
-        assert abs(r.coverage - sum(len(w) for w in runs_in if runs[w] >= 20) / len(r.candidate)) < 1e-9
+        assert abs(r.coverage - sum(len(w) for w in runs_in if runs[w] >= least) / len(r.candidate)) < 1e-9
         assert r["length"] == len(r.candidate) and all(r[f] is not None for f in FEATURES)
         assert r.hex_only == bool(re.fullmatch("[0-9a-f]+|[0-9A-F]+", r.candidate))
 
@@ -88,6 +103,21 @@ def test_scan_after_an_observation(spark, spoken):
     assert scan(df, review()).count() > 0
 
 
+def test_short_and_letter_only_secrets_are_candidates(spark):
+    texts = ['x password = "hunter2!" y', "pwd=S3cr3t", "api_key: abcdefghijklmnopqrstuvwx,", "'db_password': 'a:b@c'", "the token was secret and the key too"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit(None).cast("string"))
+    found = {(r.id, r.candidate) for r in candidates(df).collect()}
+    assert found == {(0, "hunter2!"), (1, "S3cr3t"), (2, "abcdefghijklmnopqrstuvwx"), (3, "a:b@c")}
+    rows = featured(candidates(df), vocabulary(df)).collect()
+    assert all(r.keyword_before == r.assigned == 1 for r in rows) and {r.id for r in rows if r.quoted} == {0, 3}
+
+
+def test_two_copies_of_the_corpus_change_nothing(spoken):
+    df, _, _ = spoken
+    same = [Counter((r.doc_id, r.word, r.nth, r.candidate, round(r.score, 9)) for r in scan(rows, review()).collect()) for rows in (df, df.union(df))]
+    assert same[0] == same[1] and len(same[0]) > 100
+
+
 def test_no_rows(no_docs):
     assert scan(no_docs, review()).collect() == []
 
