@@ -353,7 +353,9 @@ def phrase_counts(
     divisor, found = 1, []
     for level in range(ROUTED_ROUNDS + 1):
         limit = bucket_runs if level < ROUTED_ROUNDS else None
-        dealt = blocks.repartition("lang", "lo", "hi", "bucket").sortWithinPartitions("lang", "lo", "hi", "bucket")
+        # As many partitions as heavy buckets, so that few of them meet in one task.
+        tasks = max(2 * buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        dealt = blocks.repartition(tasks, "lang", "lo", "hi", "bucket").sortWithinPartitions("lang", "lo", "hi", "bucket")
         landed = land(dealt.mapInArrow(lambda it, n=limit: _count_blocks(it, depth, least, n), FOUND), "phrases")
         found.append(landed.where("runs is null").select("lang", "words", "phrase", "n"))
         rest = landed.where("runs is not null")
