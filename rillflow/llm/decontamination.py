@@ -49,8 +49,11 @@ class Hasher:
     def __init__(self, size: int) -> None:
         self.size, self.memo = size, {}
 
-    def hashes(self, text: str | None) -> np.ndarray:
-        """Distinct hashes, sorted. Fewer words than a shingle are one shingle; no words give none."""
+    def hashes(self, text: str | None, short: tuple[int, ...] = ()) -> np.ndarray:
+        """Distinct hashes, sorted. Fewer words than a shingle are one shingle; no words give none.
+
+        Those of runs of ``short`` numbers of words, below that of a shingle, are added on request.
+        """
         found, memo = words(text), self.memo
         if len(memo) > _MEMO:
             memo.clear()
@@ -63,17 +66,27 @@ class Hasher:
         x = np.array(out, np.uint64)
         if not len(x):
             return x
-        n = max(len(x) - self.size + 1, 1)
-        mixed = np.full(n, len(x[: self.size]), np.uint64)
-        for k in range(min(self.size, len(x))):
+        own = {min(self.size, len(x)), *(k for k in short if k <= len(x))}
+        return np.unique(np.concatenate([self._runs(x, k) for k in sorted(own)]))
+
+    @staticmethod
+    def _runs(x: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of all runs of ``size`` words, given those of the words."""
+        n = len(x) - size + 1
+        mixed = np.full(n, size, np.uint64)
+        for k in range(size):
             mixed = _mix(mixed * _MULTIPLIER + x[k : k + n])
-        return np.unique(mixed)
+        return mixed
 
 
 def shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
     """The shingles themselves."""
     found = words(text)
-    return {tuple(found[i : i + size]) for i in range(max(len(found) - size + 1, 1))} if found else set()
+    return _windows(found, min(size, len(found))) if found else set()
+
+
+def _windows(found: list[bytes], size: int) -> set[tuple[bytes, ...]]:
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)}
 
 
 def needed(total: int, threshold: float) -> int:
@@ -111,9 +124,9 @@ def contained_items(
 ) -> DataFrame:
     """``(id, mark, item, n_item_shingles, n_shared, containment)`` for every document that holds an item.
 
-    A pair is returned if at least ``threshold`` of the item's distinct shingles occur in the document. Items
-    of fewer words than a shingle are one shingle, which only a document of just these words has; NULL and empty
-    items and documents match nothing. ``mark`` is the digest of the document's text: documents that share an id are
+    A pair is returned if at least ``threshold`` of the item's distinct shingles occur in the document. An item
+    of fewer words than a shingle is one shingle of its own length, and is found wherever these words follow each other; leave out
+    items that are ordinary words. NULL and empty items and documents match nothing. ``mark`` is the digest of the document's text: documents that share an id are
     looked at one by one, and rows equal in id and text give one pair, as do such items. NULL ids are kept. Other
     columns are ignored. Empty tables give no rows.
 
@@ -129,6 +142,8 @@ def contained_items(
     things = things.select(identity.alias("item"), mark.alias("item_mark"), "item_text").dropDuplicates(["item", "item_mark"])
     sketches = land(_item_sketches(things, shingle, threshold), "sketches")
     prefixes = sketches.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("p")).distinct().collect()  # 2^22 at most
+    lengths = F.size(F.filter(F.split(F.lower("item_text"), "[^0-9a-z\\u0080-\\x{10FFFF}]+"), lambda w: w != ""))
+    short = tuple(sorted(r.n for r in things.select(lengths.alias("n")).where(f"n > 0 and n < {int(shingle)}").distinct().collect()))  # fewer than a shingle has words
     table = np.zeros(1 << FILTER_BITS, bool)
     table[[r.p for r in prefixes]] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(table).tobytes())
@@ -139,7 +154,7 @@ def contained_items(
         for batch in batches:
             at, hashes, sizes = [], [], []
             for k, text in enumerate(batch.column(2)):
-                found = hasher.hashes(text.as_py())
+                found = hasher.hashes(text.as_py(), short)
                 hits = found[bits[(found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]]
                 at.append(np.full(len(hits), k))
                 hashes.append(hits)
@@ -150,13 +165,15 @@ def contained_items(
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, last, own = [], None, set()
+            out, last, own = [], None, {}
             for k in range(batch.num_rows):
-                text = batch.column(2)[k].as_py()
+                text, item = batch.column(2)[k].as_py(), shingles(batch.column(4)[k].as_py(), shingle)
                 if text != last:
-                    last, own = text, shingles(text, shingle)
-                item = shingles(batch.column(4)[k].as_py(), shingle)
-                out.append((len(item), len(item & own)))
+                    last, own = text, {}
+                size = len(next(iter(item)))
+                if size not in own:
+                    own[size] = _windows(words(text), size)
+                out.append((len(item), len(item & own[size])))
             totals, both = (pa.array(c, pa.int64()) for c in zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (0, 1, 3)), totals, both], names=["id", "mark", "item", "n_item_shingles", "n_shared"])
 
@@ -173,8 +190,14 @@ def contained_items(
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
+    """The rows of ``docs`` that hold no item, with all their columns, whatever their names.
+
+    Rows with NULL or empty texts hold none and stay; of rows that share an id each is judged by its own text, equal rows
+    stay or go together. An empty table gives no rows, and without items all rows stay.
+    """
     found = contained_items(docs, items, id_col=id_col, text_col=text_col, **options)
-    dirty = found.select(F.col(id_col).alias("_dirty_id"), F.col("mark").alias("_dirty_mark")).distinct()
+    dirty = found.select(F.col(id_col).alias("dirty_id"), F.col("mark").alias("dirty_mark")).distinct()
     identity, mark = row_key(id_col, text_col)
-    return docs.join(dirty, identity.eqNullSafe(F.col("_dirty_id")) & (mark == F.col("_dirty_mark")), "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("own_row"), identity.alias("own_id"), mark.alias("own_mark"))
+    clean = rows.join(dirty, F.col("own_id").eqNullSafe(F.col("dirty_id")) & (F.col("own_mark") == F.col("dirty_mark")), "left_anti")
+    return clean.select("own_row.*")

@@ -123,11 +123,14 @@ def _without(text: str, removed: str) -> Column:
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = 3, id_col: str = "doc_id", text_col: str = "text", long_words: int | None = None) -> DataFrame:
-    """``docs`` with repeated runs deleted from ``text_col``; all rows and columns stay."""
-    marked = _removed(_keyed(docs, id_col, text_col), min_lines, long_words).select(
-        F.col("of").alias("_of"), F.col("marked").alias("_marked"), F.col("removed").alias("_removed")
-    )
+    """``docs`` with repeated runs deleted from ``text_col``; all rows and columns stay, whatever their names.
+
+    Which lines go is said at ``dedup_lines``: NULL and empty texts stay as they are, equal rows and rows that share an id keep
+    each other's lines, and an empty table gives no rows.
+    """
+    marked = _removed(_keyed(docs, id_col, text_col), min_lines, long_words)
     identity, mark = row_key(id_col, text_col)
-    joined = docs.join(marked, identity.eqNullSafe(F.col("_of")) & (mark == F.col("_marked")), "left")
-    text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(_without(text_col, "_removed"))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("own_row"), F.col(text_col).alias("own_text"), identity.alias("own_id"), mark.alias("own_mark"))
+    joined = rows.join(marked, F.col("own_id").eqNullSafe(F.col("of")) & (F.col("own_mark") == F.col("marked")), "left")
+    text = F.when(F.col("removed").isNull(), F.col("own_text")).otherwise(_without("own_text", "removed"))
+    return joined.select(*(text.alias(c) if c == text_col else F.col(f"own_row.`{c}`") for c in docs.columns))

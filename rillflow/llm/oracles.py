@@ -50,8 +50,15 @@ def _shingles(table: str, row_id: str, size: int = 5) -> str:
 DECONTAMINATION = f"""
 WITH ds AS ({_shingles("documents", "doc_id")}),
 bs AS ({_shingles("benchmark", "item_id")}),
+brief AS (SELECT item_id, regexp_extract_all(lower(text), '{_ITEM_WORD}') AS w FROM benchmark WHERE len(regexp_extract_all(lower(text), '{_ITEM_WORD}')) BETWEEN 1 AND 4),
+runs AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda x: array_to_string(w[x : x + k - 1], ' '))) AS s
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '{_ITEM_WORD}') AS w FROM documents), (SELECT DISTINCT len(w) AS k FROM brief)),
+brief_hits AS (SELECT doc_id, item_id, 1 AS m FROM runs JOIN brief ON s = array_to_string(w, ' ')),
 total AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
-hits AS (SELECT doc_id, item_id, count(*) AS m FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+hits AS (
+  SELECT doc_id, item_id, count(*) AS m FROM ds JOIN bs USING (s) WHERE item_id NOT IN (SELECT item_id FROM brief) GROUP BY doc_id, item_id
+  UNION ALL SELECT * FROM brief_hits)
 SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_item_shingles, CAST(m AS BIGINT) AS n_shared, m / CAST(n AS DOUBLE) AS containment
 FROM hits JOIN total USING (item_id) WHERE m / CAST(n AS DOUBLE) >= 0.8"""
 

@@ -66,6 +66,14 @@ def test_edge_rows(docs, small_docs):
         check(docs, [(r[0], r[1]) for r in small_docs], least)
 
 
+def test_clashing_names(spark):
+    names = ["of", "marked", "removed", "own_row", "own_text", "own_id", "own_mark", "id", "mark", "seq"]
+    rows = [(1, "a\nb\nc", *range(10)), (2, "a\nb\nc\nd", *range(10)), (3, None, *range(10))]
+    kept = drop_repeated_lines(spark.createDataFrame(rows, ["doc_id", "text", *names]))
+    assert kept.columns == ["doc_id", "text", *names]
+    assert sorted(map(tuple, kept.collect())) == [rows[0], (2, "d", *range(10)), rows[2]]
+
+
 def test_no_rows(no_docs):
     assert dedup_lines(no_docs).collect() == [] and drop_repeated_lines(no_docs).collect() == []
 
