@@ -10,6 +10,7 @@ operations of the JVM.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -21,12 +22,15 @@ from rillflow.llm.spans import row_key
 from rillflow.workspace import land, scratch_path
 
 BLANKS = r"[\x20\x09-\x0D]+"
-CANDIDATE = r"[A-Za-z0-9+/=_.\-]{16,}"
+LEAST_CHARS = 16
+CANDIDATE = rf"[A-Za-z0-9+/=_.\-]{{{LEAST_CHARS},}}"
 # Words that go with secrets, and the way values are given to names.
 KEYWORDS = r"(?i)(key|token|secret|passw|pwd|auth|cred|private|bearer|signature)"
 ASSIGNED = r"""[=:]["']?$|^[=:]+$"""
 # Names of secrets, as they end; a value follows after an equals sign or colon.
 SECRET_NAME = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|credentials?|(?:api|access|private|secret|auth)[_\-]?key)"
+# Every such name holds one of these.
+NAME_PARTS = ("passw", "passphrase", "pwd", "secret", "token", "credential", "key")
 QUOTE = r"""["'`]"""
 NAME_ENDS = rf"(?i){SECRET_NAME}{QUOTE}?$"
 NAME_GIVEN = rf"(?i){SECRET_NAME}{QUOTE}?[=:]+$"
@@ -55,10 +59,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), path.cast("string").alias("path"))
     identity, mark = row_key("id", "text")
     # Texts without a candidate end here, before they are split.
-    rows = rows.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(GIVEN_IN_TEXT)).select(identity.alias("id"), mark.alias("mark"), "text", "path")
+    names = _names_a_secret(F.col("text")) & F.col("text").rlike(GIVEN_IN_TEXT)
+    rows = rows.withColumn("names", names).where(F.col("names") | F.col("text").rlike(CANDIDATE))
+    rows = rows.select(identity.alias("id"), mark.alias("mark"), "text", "path", "names")
     words = F.col("words")
     found = rows.withColumn("words", F.split("text", BLANKS, -1)).drop("text")
-    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).rlike(CANDIDATE) | _given(F.get(words, i), F.get(words, i - 1), F.get(words, i - 2)).isNotNull())
+
+    def worth(i: Column) -> Column:
+        """Whether a word holds a candidate; regular expressions run only where cheaper tests allow it."""
+        word, before = F.get(words, i), F.get(words, i - 1)
+        near = [F.contains(word, F.lit(mark)) | F.coalesce(F.endswith(before, F.lit(mark)), F.lit(False)) for mark in "=:"]
+        given = F.col("names") & (near[0] | near[1]) & _given(word, before, F.get(words, i - 2)).isNotNull()
+        return ((F.length(word) >= LEAST_CHARS) & word.rlike(CANDIDATE)) | given
+
+    at = F.filter(F.sequence(F.lit(0), F.size(words) - 1), worth)
     found = found.withColumn("word", F.explode(at)).select(
         "id", "mark", "path", "word", F.get(words, F.col("word")).alias("token"),
         F.get(words, F.col("word") - 1).alias("before"), F.get(words, F.col("word") - 2).alias("before2"), F.get(words, F.col("word") + 1).alias("after"),
@@ -83,6 +97,12 @@ def _given(token: Column, before: Column, before2: Column) -> Column:
     return F.nullif(bare, F.lit(""))
 
 
+def _names_a_secret(text: Column) -> Column:
+    """Whether a text holds a part of a secret's name, a cheap test that spares most texts the search for values."""
+    lower = F.lower(text)
+    return reduce(Column.__or__, [F.contains(lower, F.lit(part)) for part in NAME_PARTS])
+
+
 def _plain(text: Column) -> Column:
     """Lower case, one symbol for digits."""
     return F.regexp_replace(F.lower(text), "[0-9]", "0")
@@ -90,7 +110,8 @@ def _plain(text: Column) -> Column:
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(token, n)``: letter and digit runs of all texts but those of candidates, counted before they are shuffled."""
-    text = F.regexp_replace(F.regexp_replace(F.col(text_col).cast("string"), CANDIDATE, " "), GIVEN_IN_TEXT, "$1")
+    text = F.col(text_col).cast("string")
+    text = F.regexp_replace(F.when(_names_a_secret(text), F.regexp_replace(text, GIVEN_IN_TEXT, "$1")).otherwise(text), CANDIDATE, " ")
     runs = F.explode(F.split(_plain(text), "[^a-z0]+")).alias("token")
     return docs.select(runs).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 

@@ -60,7 +60,7 @@ def test_candidates_against_brute_force(spark, docs, small_docs, spoken):
 def test_features(spoken):
     df, rows, _ = spoken
     words = vocabulary(df).cache()
-    bare = [re.sub(GIVEN_IN_TEXT, r"\1", re.sub(CANDIDATE, " ", r[1] or "")) for r in rows]
+    bare = [re.sub(CANDIDATE, " ", re.sub(GIVEN_IN_TEXT, r"\1", r[1] or "")) for r in rows]
     runs = Counter(w for text in bare for w in re.split("[^a-z0]+", re.sub("[0-9]", "0", text.lower())) if w)
     least = 1e-3 * sum(runs.values())
     assert {r.token: r.n for r in words.collect()} == runs
