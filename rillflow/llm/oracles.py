@@ -68,10 +68,14 @@ WITH lines AS (
 solid AS (
   SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 runs AS (
-  SELECT doc_id, seq, line AS l1, lead(line, 1) OVER w AS l2, lead(line, 2) OVER w AS l3 FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
+  SELECT doc_id, seq, line AS l1, lead(line, 1) OVER w AS l2, lead(line, 2) OVER w AS l3,
+    len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n1, lead(len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')), 1) OVER w AS n2
+  FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY seq)),
 ranked AS (
-  SELECT doc_id, seq, row_number() OVER (PARTITION BY l1, l2, l3 ORDER BY doc_id, seq) AS copy FROM runs WHERE l3 IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, seq + k AS seq FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE copy > 1),
+  SELECT doc_id, seq, 3 AS size, row_number() OVER (PARTITION BY l1, l2, l3 ORDER BY doc_id, seq) AS copy FROM runs WHERE l3 IS NOT NULL
+  UNION ALL SELECT doc_id, seq, 2, row_number() OVER (PARTITION BY l1, l2 ORDER BY doc_id, seq) FROM runs WHERE l2 IS NOT NULL AND n1 + n2 > 50
+  UNION ALL SELECT doc_id, seq, 1, row_number() OVER (PARTITION BY l1 ORDER BY doc_id, seq) FROM runs WHERE n1 > 50),
+gone AS (SELECT DISTINCT doc_id, seq + k AS seq FROM ranked, (SELECT unnest([0, 1, 2]) AS k) WHERE copy > 1 AND k < size),
 places AS (SELECT doc_id, pos FROM gone JOIN solid USING (doc_id, seq)),
 left_over AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS t FROM lines ANTI JOIN places USING (doc_id, pos) GROUP BY doc_id),
 n AS (SELECT doc_id, count(*) AS c FROM places GROUP BY doc_id)

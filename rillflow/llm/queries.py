@@ -76,7 +76,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, those deleted as parts of repeated runs, and a digest of the text left."""
-    done = dedup_lines(_table(spark, sf_dir, "documents"), min_lines=3)
+    done = dedup_lines(_table(spark, sf_dir, "documents"), min_lines=3, long_words=50)
     return done.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
