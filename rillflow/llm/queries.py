@@ -110,8 +110,8 @@ def _removal_digest(done: DataFrame) -> DataFrame:
 
 
 def op10_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines and sentences removed from every document."""
-    return _removal_digest(dedup_units(_table(spark, sf_dir, "documents"), ("line", "sentence"), min_words=8))
+    """Repeated paragraphs, lines and sentences removed from every document."""
+    return _removal_digest(dedup_units(_table(spark, sf_dir, "documents"), ("paragraph", "line", "sentence"), min_words=8))
 
 
 def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

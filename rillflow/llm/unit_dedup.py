@@ -32,25 +32,40 @@ def normalise(unit: bytes) -> bytes:
 
 
 def units(text: bytes, kinds: tuple[str, ...], min_words: int) -> Iterator[tuple[bytes, int, int]]:
-    """``(digest, start, end)`` of all units with at least ``min_words`` words."""
+    """``(digest, start, end)`` of all units with at least ``min_words`` words, and of runs of shorter ones.
+
+    A run begins at every shorter unit and takes in the shorter units that follow until it has ``min_words`` words, wherever it
+    stands, so that no text is exempt because of its line breaks. Units without a word are passed over.
+    """
     for kind in kinds:
-        start = 0
-        ends = [m.end() for m in KINDS[kind].finditer(text)]
-        for end in [*ends, len(text)]:
+        start, own = 0, []
+        for end in [*(m.end() for m in KINDS[kind].finditer(text)), len(text)]:
             plain = normalise(text[start:end])
-            if plain and plain.count(b" ") + 1 >= min_words:
-                yield hashlib.blake2b(plain, digest_size=16, person=kind.encode()).digest(), start, end
+            if plain:
+                own.append((plain, plain.count(b" ") + 1, start, end))
             start = end
+        for k, (plain, n, start, end) in enumerate(own):
+            if n >= min_words:
+                yield hashlib.blake2b(plain, digest_size=16, person=kind.encode()).digest(), start, end
+                continue
+            run, last = [plain], k
+            while n < min_words and last + 1 < len(own) and own[last + 1][1] < min_words:
+                last += 1
+                run.append(own[last][0])
+                n += own[last][1]
+            if n >= min_words:
+                yield hashlib.blake2b(b" ".join(run), digest_size=16, person=kind.encode() + b"-run").digest(), start, own[last][3]
 
 
 def dedup_units(
-    docs: DataFrame, kinds: tuple[str, ...] = ("line", "sentence"), min_words: int = 8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, kinds: tuple[str, ...] = ("paragraph", "line", "sentence"), min_words: int = 8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(id, n_bytes, removed, kept)``, a row per row of ``docs``; ``removed`` holds the original byte spans.
 
     A unit is removed if an equal one (after lower-casing and dropping punctuation) stands in a document with a
     smaller id or earlier in its own. ``kinds`` may name lines, sentences and paragraphs, each compared with
-    its own kind; units of fewer than ``min_words`` words always stay. Rows that share an id are ties and keep each
+    its own kind. Units of fewer than ``min_words`` words are compared as runs of ``min_words`` words or more, which may
+    overlap; only those in too short a run always stay. Rows that share an id are ties and keep each
     other's units; a NULL id ranks last, and rows with a NULL id are ties. NULL texts are empty. Other columns
     are ignored. An empty table gives no rows.
 

@@ -54,6 +54,14 @@ def test_offsets_are_of_the_original(spark):
     assert bytes(got[2].kept).decode() == "x\nÄ b, c d e f g h i!\nNew text of this one here. "  # non-ASCII letters keep their case
 
 
+def test_passages_of_short_lines(spark):
+    """A list of short lines goes wherever it stands again, and a text with too few words stays."""
+    listed = "red\ngreen one\n\nblue two three\nfour\nfive six\n"
+    rows = [(1, f"Start\n{listed}end\n"), (2, f"other words\nhere\n{listed}and a long last line that is no part of any run"), (3, "red\ngreen one\n")]
+    got = {r.doc_id: bytes(r.kept).decode() for r in dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), ("line",), 8).collect()}
+    assert got == {1: rows[0][1], 2: "other words\nhere\nand a long last line that is no part of any run", 3: rows[2][1]}
+
+
 def test_normalise():
     assert normalise(b"  A,b\t-\nC1 \xc3\xa4! ") == b"a b c1 \xc3\xa4"
 
@@ -70,4 +78,4 @@ def test_merge_of_spans():
 def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_bytes, r.n_removed) for r in op10_unit_dedup(spark, sf_dir).collect()}
-    assert got == {i: (n, gone) for i, n, gone, _ in slow(rows, ("line", "sentence"), 8)}
+    assert got == {i: (n, gone) for i, n, gone, _ in slow(rows, ("paragraph", "line", "sentence"), 8)}
