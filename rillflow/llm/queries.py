@@ -136,7 +136,7 @@ def planted_periods(docs: DataFrame) -> DataFrame:
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), 0)
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("own"))
-    rows = rows.withColumn("n", F.size("own")).withColumn("g", F.floor(F.col("h") / 10).cast("long")).withColumn("a", F.expr("g % n"))
+    rows = rows.withColumn("n", F.size("own")).withColumn("g", F.floor(F.col("h") / 10).cast("long")).withColumn("a", F.expr("g % greatest(n, 1)"))
     rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
     planted = F.array_join(F.expr("transform(own, (w, i) -> if(i < a, w, element_at(own, cast(1 + a + (i - a) % p as int))))"), " ")
     return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))

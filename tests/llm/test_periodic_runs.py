@@ -118,6 +118,14 @@ def test_planted_periods(docs, small_docs):
     assert got == sorted((repr(r[0]), planted(r[0], r[1])) for r in small_docs)
 
 
+def test_planting_in_texts_without_words(spark):
+    """Ids that are chosen for planting, with texts that have no word or one."""
+    chosen = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:5]
+    rows = list(zip(chosen, ["", None, " \n", "one", "one two"], strict=True))
+    got = {r.doc_id: split(r.text) for r in planted_periods(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: planted(i, text) for i, text in rows}
+
+
 def test_query_against_brute_force(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = op13_periodic_runs(spark, sf_dir).collect()
