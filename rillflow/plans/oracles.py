@@ -110,7 +110,9 @@ ORACLES: dict[str, str] = {
     "agg_count_json": LOCATION_JSON,
     "agg_count_json_quoted": "select '{\"' || p_brand || '\": \"' || count(*) || '\"}' as json from part group by p_brand",
     "agg_group_by_key": group_lines("select o_custkey as k, 0 as t, cast(o_orderkey as varchar) as v from orders"),
-    "agg_group_by_key_paged": f"select p_brand as k, {digests('names', 'true', 'p_name')}, true as few_pages from part group by 1",
+    "agg_group_by_key_paged": f"""select k, name, n_names, min_names, max_names, sum_names, few_pages
+        from (select p_brand as k, p_name as name from part) v
+        join (select p_brand as k, {digests('names', 'true', 'p_name')}, true as few_pages from part group by 1) g using (k)""",
     "join_cogroup": f"""select k || ';[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 0), '')
         || '];[' || coalesce(string_agg(v, ', ' order by v) filter (where t = 1), '') || '];' as line
         from ({NATION_NAMES}) s group by k""",
