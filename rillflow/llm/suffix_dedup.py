@@ -9,9 +9,9 @@ that its strings may reach, and the range of strings it stands for.
    a fixed size, and what passes by chance only costs work.
 2. Each task sorts the suffixes with repeated grams, slice by slice, and sends them on as front-coded runs: a common
    prefix length and the rest of each suffix. Suffixes equal in all they carry are sent once.
-3. The runs of a hash range are merged by a loser tree that compares suffixes only beyond the prefix they are
-   known to share, and that yields the common prefix length of neighbours. Prefix classes to the right and to
-   the left of the anchors then tell which strings stand earlier, for all lengths of overlap.
+3. The runs of a part, which the lower half of the gram's hash gives, are merged by a loser tree that compares suffixes
+   only beyond the prefix they are known to share, and that yields the common prefix length of neighbours. Prefix
+   classes to the right and to the left of the anchors then tell which strings stand earlier, for all lengths of overlap.
 4. The union of the repeated strings is cut out of the texts.
 """
 
@@ -267,6 +267,11 @@ def repeated_strings(
     return least, most
 
 
+def parts_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each hash, by its lower half: the hashes of anchors are the lowest of many, so the upper half is low for most."""
+    return (h & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)
+
+
 RUN = "part long, commons binary, rests binary, lefts binary, low binary, high binary, owners binary"
 SPAN = "id long, mark long, start long, end long"
 
@@ -350,7 +355,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
                     if len(known):
                         yield int(known[0, 1] % parts), None, None, None, None, None, known.astype(np.int64).tobytes()
                     order, suffix, left, low, high, owner = packed
-                    part = (h[order] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+                    part = parts_of(h[order], parts)
+                    dealt = np.argsort(part, kind="stable")
+                    part, suffix, left, low, high, owner = (column[dealt] for column in (part, suffix, left, low, high, owner))
                     edges = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)).tolist()
                     for a, b in zip(edges[:-1], edges[1:], strict=True):
                         commons, rests = front_code(suffix[a:b])

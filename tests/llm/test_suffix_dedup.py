@@ -71,6 +71,15 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
 
+def test_parts_of_anchors_are_alike():
+    """Hashes of anchors are low ones; their parts must not be: the first of 40 would hold most of all suffixes."""
+    data = np.random.default_rng(5).integers(97, 123, 400_000).astype(np.uint8)
+    h = suffix_dedup.Anchors(100, 24).find(data, np.array([len(data)]))[1]
+    assert np.mean(h >> np.uint64(32) < (1 << 32) // 40) > 0.5
+    sizes = np.bincount(suffix_dedup.parts_of(h, 40).astype(np.int64), minlength=40)
+    assert len(sizes) == 40 and sizes.max() < 1.5 * sizes.mean() and sizes.min() > 0.5 * sizes.mean()
+
+
 def test_no_rows(no_docs):
     assert dedup_strings(no_docs).collect() == []
 
