@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.workspace import land, remove, scratch_path
 
+# Rounds over few edges are written by few tasks: each has this many edges or more, unless there are not as many.
+TASK_EDGES = 4096
+
 
 def _with_lowest(edges: DataFrame) -> DataFrame:
     """Each edge (u, v) with the lowest ``v`` of its ``u``; the minimum is combined before its shuffle."""
@@ -31,8 +36,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     The root is the lowest node of the component. Every round is a pair of grouped minimums and
     joins, written below the scratch root, so neither lineage nor driver memory grows; the folder of
-    a round goes once the next one is written. Loops and repeated edges are ignored; no edges give
-    no rows.
+    a round goes once the next one is written. A round has no more tasks at its end than its edges call for, so
+    that small tables are not written as one file for each shuffle partition. Loops and repeated edges are
+    ignored; no edges give no rows.
     """
     spark = edges.sparkSession
     path = scratch_path(spark, "edges")
@@ -46,5 +52,6 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("v").alias("node"), F.col("v").alias("root"))
             ).distinct()
         seen, old, path = mark, path, scratch_path(spark, "edges")
-        now = land(_small_star(_large_star(now).distinct()), "edges", path)
+        # No round has more edges than the one before.
+        now = land(_small_star(_large_star(now).distinct()).coalesce(max(1, math.ceil(mark[0] / TASK_EDGES))), "edges", path)
         remove(spark, old)

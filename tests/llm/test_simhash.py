@@ -8,9 +8,11 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from rillflow.llm import graph
 from rillflow.llm.graph import components
 from rillflow.llm.queries import op1_simhash_near_dedup
 from rillflow.llm.simhash import keep_one, links, masks, near_duplicates
+from rillflow.workspace import land
 
 
 def slow_fingerprint(text, shingle=4):
@@ -71,6 +73,30 @@ def test_links_connect_a_crowded_ball(spark, bucket_rows):
     assert [found.get(p, p) for p in prints] == want
 
 
+def test_rounds_over_few_edges_write_few_files(spark, monkeypatch):
+    """A round of a few hundred edges is no file for each of many shuffle partitions; the components are the same."""
+    tasks = []
+
+    def noted(df, name, path=None):
+        landed = land(df, name, path)
+        tasks.append(len(landed.inputFiles()))
+        return landed
+
+    monkeypatch.setattr(graph, "land", noted)
+    settings = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        df = spark.createDataFrame([(k, k + 1) for k in range(300) if k % 100 != 99], "u long, v long")
+        found = dict(components(df).collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == {k: k // 100 * 100 for k in range(300)}
+    assert len(tasks) > 2 and set(tasks[1:]) == {1}
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 60)]
