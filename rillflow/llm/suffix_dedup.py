@@ -6,9 +6,9 @@ start at anchors are sorted, a small share of all. Each carries its next ``lengt
 that its strings may reach, and the range of strings it stands for.
 
 1. Anchor grams are counted over all documents. A bit table of the repeated ones goes to all tasks; it has
-   a fixed size, and what passes by chance only costs work.
-2. Each task sorts the suffixes with repeated grams, slice by slice, and sends them on as front-coded runs: a common
-   prefix length and the rest of each suffix. Suffixes equal in all they carry are sent once.
+   eight bits for each of them, up to a fixed size, and what passes by chance only costs work.
+2. Each task sorts the suffixes with repeated grams, those of several slices at once, and sends them on as front-coded
+   runs: a common prefix length and the rest of each suffix. Suffixes equal in all they carry are sent once.
 3. The runs of a part, which the lower half of the gram's hash gives, are merged by a loser tree that compares suffixes
    only beyond the prefix they are known to share, and that yields the common prefix length of neighbours. Prefix
    classes to the right and to the left of the anchors then tell which strings stand earlier, for all lengths of overlap.
@@ -29,11 +29,15 @@ from rillflow.workspace import land
 LENGTH = 100
 GRAM = 24
 SLICE_BYTES = 1 << 20
-# The bit table of repeated grams: 16 MB, collected in chunks.
+# Suffixes that a task sorts together: the more, the longer its runs, and long ones take less room. They are some 12 MB.
+POOL_ROWS = 1 << 16
+# The bit table of repeated grams: 16 MB to 128 MB, collected in chunks.
 FILTER_BITS = 27
+MOST_FILTER_BITS = 30
 CHUNK_BITS = 17
 CODEC = "zstd"
-HEAD = 8  # bytes of the gram's hash, which lead a suffix in the sort
+# Suffixes of a part, which one task holds: some 60 MB.
+PART_ROWS = 100_000
 # Grams with fewer places than this are never spread: they are some 60 MB in a task.
 HOT_ROWS = 100_000
 NO_ID = np.iinfo(np.int64).max
@@ -168,6 +172,16 @@ def packed_bytes(data: bytes) -> bytes:
     return pa.compress(data, CODEC, asbytes=True)
 
 
+def packed_longs(rows: np.ndarray) -> bytes:
+    """Rows of numbers, packed by column and by byte of the number: high bytes are mostly alike."""
+    return packed_bytes(np.ascontiguousarray(rows.astype("<i8").T).view(np.uint8).reshape(rows.shape[1], -1, 8).transpose(0, 2, 1).tobytes())
+
+
+def unpacked_longs(data: bytes, n: int, columns: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n * columns, CODEC, asbytes=True), np.uint8).reshape(columns, 8, n)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8").reshape(columns, n).T
+
+
 def common_prefix(a: bytes, b: bytes, known: int) -> int:
     """Common prefix length of two strings of one length that share ``known`` bytes."""
     x = int.from_bytes(a[known:], "big") ^ int.from_bytes(b[known:], "big")
@@ -272,6 +286,27 @@ def parts_of(h: np.ndarray, parts: int) -> np.ndarray:
     return (h & np.uint64(0xFFFFFFFF)) * np.uint64(parts) >> np.uint64(32)
 
 
+def parts_for(suffixes: int, tasks: int) -> int:
+    """Parts of at most ``PART_ROWS`` suffixes, as many for each task."""
+    return tasks * max(-(-suffixes // (tasks * PART_ROWS)), 1)
+
+
+def table_bits(repeated: int) -> int:
+    """Bits that index the table of so many repeated grams."""
+    return min(max((8 * repeated).bit_length(), FILTER_BITS), MOST_FILTER_BITS)
+
+
+def table_places(h: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each hash in the table, by its low bits: by the high ones all anchors would meet in a small part of it."""
+    return (h & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def table_holds(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set in the packed table, the size of which is a power of two."""
+    at = table_places(h, (8 * len(table)).bit_length() - 1)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 RUN = "part long, commons binary, rests binary, lefts binary, low binary, high binary, owners binary"
 SPAN = "id long, mark long, start long, end long"
 
@@ -283,7 +318,6 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     sixteenth of a part's share of all places is spread over the parts; that changes the work, not the result.
     """
     spark = rows.sparkSession
-    parts = parts or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     reach = length - gram
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,103 +330,118 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: dict[int, np.ndarray] = {}
         for batch in batches:
-            h = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-            for chunk in np.unique(h >> np.uint64(CHUNK_BITS)).tolist():
+            at = table_places(batch.column(0).to_numpy().view(np.uint64), bits)
+            for chunk in np.unique(at >> CHUNK_BITS).tolist():
                 own = chunks.setdefault(chunk, np.zeros(1 << CHUNK_BITS, bool))
-                own[h[h >> np.uint64(CHUNK_BITS) == chunk] & np.uint64((1 << CHUNK_BITS) - 1)] = True
+                own[at[at >> CHUNK_BITS == chunk] & (1 << CHUNK_BITS) - 1] = True
         packed = [np.packbits(c).tobytes() for c in chunks.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.int64()), pa.array(packed, pa.binary())], names=["chunk", "bits"])
 
     counts = land(rows.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "grams")
-    chunk = F.shiftrightunsigned("h", 64 - FILTER_BITS + CHUNK_BITS)
-    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    repeated, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    bits = table_bits(repeated)
+    chunk = F.shiftright(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)), CHUNK_BITS)
+    found = np.zeros(1 << bits - 3, np.uint8)
     for row in counts.select("h").repartition(chunk).mapInArrow(table, "chunk long, bits binary").toLocalIterator():
-        bits[row.chunk << CHUNK_BITS - 3 : (row.chunk + 1) << CHUNK_BITS - 3] |= np.frombuffer(row.bits, np.uint8)
-    shared = spark.sparkContext.broadcast(bits.tobytes())
+        found[row.chunk << CHUNK_BITS - 3 : (row.chunk + 1) << CHUNK_BITS - 3] |= np.frombuffer(row.bits, np.uint8)
+    shared = spark.sparkContext.broadcast(found.tobytes())
+    del found
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Frequent grams: less than 16 a part, as each has more than a sixteenth of a part's share of the suffixes.
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    frequent = counts.where(F.col("n") > max(hot_rows, total // (16 * parts))).select("h").collect()
+    frequent = counts.where(F.col("n") > max(hot_rows, total // (16 * (parts or parts_for(total, tasks))))).collect()
+    # Each of their places stands for half of all distances on average.
+    parts = parts or parts_for(total + sum(r.n for r in frequent) * reach // 2, tasks)
     hot = spark.sparkContext.broadcast(np.sort(np.array([r.h for r in frequent], np.int64)).tobytes())
 
+    def distinct(part: np.ndarray, full: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order of the suffixes by part and bytes, each kind once, and the spans of the copies."""
+        words = full.view(">u8")
+        order = np.lexsort((owner[:, 2], owner[:, 1], owner[:, 0], *words.T[::-1], part))
+        words, owner = words[order], owner[order]
+        same = np.concatenate(([False], (words[1:] == words[:-1]).all(axis=1)))
+        head = np.flatnonzero(~same)[np.cumsum(~same) - 1]
+        again = same & (owner[:, 0] > owner[head, 0])
+        fresh = ~same
+        fresh[1:] |= (owner[1:, :2] != owner[:-1, :2]).any(axis=1)
+        again |= owner[:, 2] > owner[np.flatnonzero(fresh)[np.cumsum(fresh) - 1], 2]
+        o, (low, high) = owner[again], full[order[again], length + reach : length + reach + 2].astype(np.int64).T
+        return order[~again], np.column_stack((o[:, :2], o[:, 2] - high, o[:, 2] - low + length))
+
+    def rows_of(part: np.ndarray, full: np.ndarray, owner: np.ndarray) -> Iterator[tuple]:
+        """Sorted suffixes as runs by part."""
+        left, low, high = full[:, length : length + reach], full[:, length + reach], full[:, length + reach + 1]
+        edges = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)).tolist()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            commons, rests = front_code(full[a:b, :length])
+            yield int(part[a]), commons.tobytes(), packed_bytes(rests), packed_bytes(left[a:b].tobytes()), low[a:b].tobytes(), high[a:b].tobytes(), packed_longs(owner[a:b])
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, seen = Anchors(length, gram), np.frombuffer(shared.value, np.uint8)
         often = np.frombuffer(hot.value, np.int64).view(np.uint64)
+        pool, gone = [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            """Runs of the pool. What is known to go already travels with them, so that nothing is done twice."""
+            packed = [np.concatenate(column) for column in zip(*pool, strict=True)]
+            pool.clear()
+            order, known = distinct(*packed)
+            cols = [(int(k[0, 1] % parts), None, None, None, None, None, k.astype(np.int64).tobytes()) for k in (*gone, known) if len(k)]
+            cols += rows_of(*(column[order] for column in packed))
+            gone.clear()
+            arrays = [pa.array(c, pa.int64() if k == 0 else pa.binary()) for k, c in enumerate(zip(*cols, strict=True))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in RUN.split(", ")])
+
         for batch in batches:
             ids, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             for at_rows, offsets, data, ends in _slices(batch, length):
                 begins = np.concatenate(([0], ends[:-1]))
 
-                def entries(place: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray, reach: int):
-                    """Sorted suffixes, each kind once: ``(index, suffix, left, low, high, owner)``, and the spans of the copies."""
+                def entries(place: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                    """Part, bytes (suffix, left, low and high) and owner of suffixes."""
                     doc = np.searchsorted(ends, place, side="right")
                     begin = begins[doc]
                     # Only as much of the text on either side as the strings of this suffix reach.
-                    suffix = np.concatenate((h.astype(">u8").view(np.uint8).reshape(-1, HEAD), _gathered(data, place, length, begin, last + length)), axis=1)
+                    suffix = _gathered(data, place, length, begin, last + length)
                     left = np.zeros((len(place), length - gram), np.uint8)
                     if reach:
                         left = _gathered(data, place - reach, reach, first, ends[doc])[:, ::-1]
-                    owner = np.column_stack((ids[at_rows[doc]], marks[at_rows[doc]], place - begin + offsets[doc]))
                     low, high = (place - last).astype(np.uint8), (place - first).astype(np.uint8)
                     # Low and high tell how much of either side is text, so padding is never taken for it.
                     whole = np.concatenate((suffix, left, low[:, None], high[:, None]), axis=1)
                     full = np.zeros((len(whole), whole.shape[1] + (-whole.shape[1]) % 8), np.uint8)
                     full[:, : whole.shape[1]] = whole
-                    order = np.lexsort((owner[:, 2], owner[:, 1], owner[:, 0], *full.view(">u8").T[::-1]))
-                    full, sorted_owner = full[order], owner[order]
-                    same = np.concatenate(([False], (full[1:] == full[:-1]).all(axis=1)))
-                    head = np.flatnonzero(~same)[np.cumsum(~same) - 1]
-                    again = same & (sorted_owner[:, 0] > sorted_owner[head, 0])
-                    fresh = ~same
-                    fresh[1:] |= (sorted_owner[1:, :2] != sorted_owner[:-1, :2]).any(axis=1)
-                    again |= sorted_owner[:, 2] > sorted_owner[np.flatnonzero(fresh)[np.cumsum(fresh) - 1], 2]
-                    gone, order = order[again], order[~again]
-                    o = owner[gone]
-                    known = np.column_stack((o[:, :2], o[:, 2] - high[gone], o[:, 2] - low[gone].astype(np.int64) + length))
-                    return (order, suffix[order], left[order], low[order], high[order], owner[order]), known
-
-                def rows_of(h: np.ndarray, packed: tuple, known: np.ndarray) -> Iterator[tuple]:
-                    """Runs by part; what is known to go already travels with them, so that nothing is done twice."""
-                    if len(known):
-                        yield int(known[0, 1] % parts), None, None, None, None, None, known.astype(np.int64).tobytes()
-                    order, suffix, left, low, high, owner = packed
-                    part = parts_of(h[order], parts)
-                    dealt = np.argsort(part, kind="stable")
-                    part, suffix, left, low, high, owner = (column[dealt] for column in (part, suffix, left, low, high, owner))
-                    edges = np.append(np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))), len(part)).tolist()
-                    for a, b in zip(edges[:-1], edges[1:], strict=True):
-                        commons, rests = front_code(suffix[a:b])
-                        yield int(part[a]), commons.tobytes(), packed_bytes(rests), packed_bytes(left[a:b].tobytes()), low[a:b].tobytes(), high[a:b].tobytes(), owner[a:b].tobytes()
+                    return parts_of(h, parts).astype(np.int64), full, np.column_stack((ids[at_rows[doc]], marks[at_rows[doc]], place - begin + offsets[doc]))
 
                 place, h, first, last = finder.find(data, ends)
-                top = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                keep = (seen[top >> 3] >> (7 - (top & 7)).astype(np.uint8) & 1).astype(bool)
+                keep = table_holds(seen, h)
                 place, h, first, last = place[keep], h[keep], first[keep], last[keep]
-                if not len(place):
-                    continue
-                packed, known = entries(place, h, first, last, length - gram)
-                many = np.isin(h[packed[0]], often)
-                cols = list(rows_of(h, tuple(column[~many] for column in packed), known))
+                many = np.isin(h, often)
                 if many.any():
                     # Strings at frequent anchors go on one by one, under hashes of their own: those that cross
                     # the border of a frequent passage then meet in many parts, and those within it once per slice.
-                    at = packed[0][many]
+                    order, known = distinct(*entries(place[many], h[many], first[many], last[many], reach))
+                    at = np.flatnonzero(many)[order]
                     n = last[at] - first[at] + 1
                     starts = np.repeat(first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    own = finder.string_hashes(starts)
-                    cols += rows_of(own, *entries(starts, own, starts, starts, 0))
-                if cols:
-                    arrays = [pa.array(c, pa.int64() if k == 0 else pa.binary()) for k, c in enumerate(zip(*cols, strict=True))]
-                    yield pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in RUN.split(", ")])
+                    own = entries(starts, finder.string_hashes(starts), starts, starts, 0)
+                    order, again = distinct(*own)
+                    pool.append(tuple(column[order] for column in own))
+                    gone += [known, again]
+                if not many.all():
+                    pool.append(entries(place[~many], h[~many], first[~many], last[~many], reach))
+                if sum(len(p[0]) for p in pool) >= POOL_ROWS:
+                    yield from flush()
+        if pool:
+            yield from flush()
 
     def span_batch(*columns: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "mark", "start", "end"])
 
     def merged(runs: list[tuple]) -> Iterator[pa.RecordBatch]:
         """Spans found in all runs of one part."""
-        width = HEAD + length
         commons = [np.frombuffer(r[1], np.uint8) for r in runs]
-        rests = (pa.decompress(r[2], len(c) * width - int(c.sum(dtype=np.int64)), CODEC, asbytes=True) for c, r in zip(commons, runs, strict=True))
-        strings = [(front_decode(c, rest, width), c.tolist()) for c, rest in zip(commons, rests, strict=True)]
+        rests = (pa.decompress(r[2], len(c) * length - int(c.sum(dtype=np.int64)), CODEC, asbytes=True) for c, r in zip(commons, runs, strict=True))
+        strings = [(front_decode(c, rest, length), c.tolist()) for c, rest in zip(commons, rests, strict=True)]
         offsets = np.concatenate(([0], np.cumsum([len(c) for c in commons])))
         if offsets[-1] < 2:
             return
@@ -401,16 +450,16 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
             order[k], right[k] = offsets[run] + index, common
         del strings
         # A gram that stands alone has no partner; its neighbours share less than a gram with it.
-        inner = right >= HEAD + gram
+        inner = right >= gram
         inner[:-1] |= inner[1:]
-        right = right[inner] - HEAD
+        right = right[inner]
         order = order[inner]
         if not len(order):
             return
         lefts = [pa.decompress(r[3], len(c) * reach, CODEC, asbytes=True) for c, r in zip(commons, runs, strict=True)]
         left = np.frombuffer(b"".join(lefts), np.uint8).reshape(-1, reach)[order]
         low, high = (np.concatenate([np.frombuffer(r[c], np.uint8) for r in runs])[order].astype(np.int64) for c in (4, 5))
-        owner = np.concatenate([np.frombuffer(r[6], np.int64) for r in runs]).reshape(-1, 3)[order]
+        owner = np.concatenate([unpacked_longs(r[6], len(c), 3) for c, r in zip(commons, runs, strict=True)])[order]
         least, most = repeated_strings(right, left, low, high, owner[:, 0], owner[:, 1], owner[:, 2], length)
         hit = most >= 0
         yield span_batch(owner[hit, 0], owner[hit, 1], owner[hit, 2] - most[hit], owner[hit, 2] - least[hit] + length)
@@ -432,7 +481,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, part
         if runs:
             yield from merged(runs)
 
-    runs = rows.mapInArrow(send, RUN).repartition("part").sortWithinPartitions("part")
+    tasks = min(tasks, parts)
+    runs = rows.mapInArrow(send, RUN).repartitionById(tasks, (F.col("part") % tasks).cast("int")).sortWithinPartitions("part")
     return runs.mapInArrow(merge_parts, SPAN)
 
 

@@ -80,6 +80,85 @@ def test_parts_of_anchors_are_alike():
     assert len(sizes) == 40 and sizes.max() < 1.5 * sizes.mean() and sizes.min() > 0.5 * sizes.mean()
 
 
+def test_table_tells_repeated_grams_from_others():
+    """Anchors that were not entered pass by chance only; by the high bits of their hashes a third would."""
+    data = np.random.default_rng(6).integers(97, 123, 1_200_000).astype(np.uint8)
+    h = suffix_dedup.Anchors(100, 24).find(data, np.array([len(data)]))[1]
+    table = np.zeros(1 << 20, bool)
+    table[suffix_dedup.table_places(h[::2], 20)] = True
+    packed = np.packbits(table)
+    assert suffix_dedup.table_holds(packed, h[::2]).all()
+    assert table.mean() > 0.01 and suffix_dedup.table_holds(packed, h[1::2]).mean() < 1.5 * table.mean()
+
+
+def test_table_grows_with_the_repeated_grams():
+    assert [suffix_dedup.table_bits(n) for n in (0, 1 << 23, 1 << 25, 1 << 40)] == [27, 27, 29, 30]
+
+
+def test_numbers_of_owners_are_packed():
+    rows = np.random.default_rng(7).integers(-(1 << 63), (1 << 63) - 1, (500, 3))
+    rows[:, 0] = np.arange(500)
+    packed = suffix_dedup.packed_longs(rows)
+    assert len(packed) < 8 * 500 * 3 * 0.8
+    assert (suffix_dedup.unpacked_longs(packed, 500, 3) == rows).all()
+
+
+@pytest.fixture
+def sent(monkeypatch, tmp_path):
+    """Numbers of suffixes of the runs that have been sent since the last call."""
+    path, front = tmp_path / "runs", front_code
+
+    def noted(rows):
+        with open(path, "a") as out:
+            out.write(f"{len(rows)}\n")
+        return front(rows)
+
+    def since():
+        sizes = [int(n) for n in path.read_text().split()] if path.exists() else []
+        path.write_text("")
+        return sizes
+
+    monkeypatch.setattr(suffix_dedup, "front_code", noted)
+    return since
+
+
+def test_suffixes_without_partner_stay(spark, monkeypatch, sent):
+    """The table of 2^20 bits holds some 7,700 grams; of the 77,000 that stand once few may be sent."""
+    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 20)
+    pick = np.random.default_rng(9)
+    texts = ["".join(map(chr, pick.integers(97, 123, 10_000))) for _ in range(330)]
+    df = spark.createDataFrame(list(enumerate(texts + texts[:30])), "doc_id long, text string").coalesce(1)
+    removed = {r.doc_id: [(s.start, s.end) for s in r.removed] for r in dedup_strings(df).collect()}
+    assert removed == {k: [(0, 10_000)] if k >= 330 else [] for k in range(360)}
+    assert 7_000 < sum(sent()) < 18_000
+
+
+def test_runs_of_several_slices(spark, monkeypatch, sent):
+    """Suffixes of many slices are one run a part, unless the pool is full."""
+    pick = random.Random(8)
+    shared = "".join(pick.choice("abcdef ") for _ in range(400))
+    rows = [(k, "".join(pick.choice("abcdef ") for _ in range(pick.randrange(300))) + shared[pick.randrange(200) :]) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = slow([(i, t.encode()) for i, t in rows], 100)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(suffix_dedup, "POOL_ROWS", 1 << 16)
+    spark.conf.set(batch, "3")
+    try:
+        assert found(df, 100, 24, 2) == want
+        assert len(sent()) <= 2
+        assert found(df, 100, 24, 2, "doc_id", "text", 3) == want
+        assert len(sent()) <= 2
+        monkeypatch.setattr(suffix_dedup, "POOL_ROWS", 1)
+        assert found(df, 100, 24, 2) == want
+        assert len(sent()) > 10
+    finally:
+        spark.conf.unset(batch)
+
+
+def test_parts_follow_the_suffixes():
+    assert [suffix_dedup.parts_for(n, 50) for n in (0, 5_000_000, 5_000_001, 10**9)] == [50, 50, 100, 10_000]
+
+
 def test_no_rows(no_docs):
     assert dedup_strings(no_docs).collect() == []
 
